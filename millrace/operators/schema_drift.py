@@ -92,8 +92,10 @@ def _evidence(fields: DataFrame, files: DataFrame, gone: DataFrame, come: DataFr
     # Only files where a field has gone and another has come need their records aligned.
     wanted = gone.select("feed_id", "file_id").distinct().join(come.select("feed_id", "file_id").distinct(), ["feed_id", "file_id"])
     pairs = files.join(wanted, ["feed_id", "file_id"]).select("feed_id", "file_id", "prev_file")
-    after = fields.join(pairs, ["feed_id", "file_id"]).select("feed_id", "file_id", "row", "field", "canon")
-    before = fields.withColumnRenamed("file_id", "prev_file").join(pairs, ["feed_id", "prev_file"]).select("feed_id", "file_id", "row", "field", "canon")
+    roles = pairs.select("feed_id", F.col("file_id").alias("of"), F.explode(F.array(F.struct(F.col("file_id").alias("source"), F.lit(True).alias("after")), F.struct(F.col("prev_file").alias("source"), F.lit(False).alias("after")))).alias("r")).select("feed_id", "of", "r.*")
+    sides = fields.withColumnRenamed("file_id", "source").join(roles, ["feed_id", "source"]).select("feed_id", F.col("of").alias("file_id"), "after", "row", "field", "canon")
+    sides = cut_lineage(sides, "sides")
+    after, before = sides.filter("after").drop("after"), sides.filter("not after").drop("after")
 
     def distinctive(side: DataFrame) -> DataFrame:
         """Values that one record of the file alone holds."""
@@ -172,7 +174,7 @@ def schema_changes(lines: DataFrame) -> DataFrame:
     empty table no rows. A field that only holds nulls in a file isn't in it. Other columns are ignored.
     """
     fields, files = json_fields(lines), _file_order(lines)
-    diff = _differences(fields, files)
+    diff = cut_lineage(_differences(fields, files).filter("old_type is null or new_type is null or old_type <> new_type"), "differences")
     gone = diff.filter("new_type is null").select("feed_id", "file_id", "field")
     come = diff.filter("old_type is null").select("feed_id", "file_id", "field")
     score = (F.col("agree") / F.col("both") - F.col("chance")) / (1 - F.least("chance", F.lit(0.999)))
@@ -184,8 +186,8 @@ def schema_changes(lines: DataFrame) -> DataFrame:
         .select("feed_id", "file_id", F.explode(_matched("edges")).alias("m"))
         .select("feed_id", "file_id", F.col("m.old").alias("field"), F.col("m.new").alias("new_name"))
     )
-    changed = diff.filter("old_type is null or new_type is null or old_type <> new_type")
-    marked = changed.join(renames, ["feed_id", "file_id", "field"], "left")
+    renames = cut_lineage(renames, "renames")
+    marked = diff.join(renames, ["feed_id", "file_id", "field"], "left")
     taken = renames.select("feed_id", "file_id", F.col("new_name").alias("field"), F.lit(True).alias("taken"))
     marked = marked.join(taken, ["feed_id", "file_id", "field"], "left").filter("not (old_type is null and taken is not null)")
     kind = F.when(F.col("new_name").isNotNull(), "renamed").when(F.col("old_type").isNull(), "added").when(F.col("new_type").isNull(), "removed").otherwise("retyped")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,16 +34,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Keep the checkpoint folder the cluster names; set one only where none is set (tests)."""
-    if spark.conf.get("spark.checkpoint.dir", None):
-        return
-    context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="millrace-"))
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that all executors share, as the cluster names it; one of our own only where none is set (tests)."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        current = spark.sparkContext._jsc.sc().getCheckpointDir()
+        folder = current.get() if current.isDefined() else tempfile.mkdtemp(prefix="millrace-")
+        spark.sparkContext.setCheckpointDir(folder) if current.isEmpty() else None
+    return folder
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: lost executors don't cost a recomputation of what lies before."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder; it is removed when the driver ends."""
+    path = f"{shared_dir(spark).rstrip('/')}/millrace/{name}-{uuid.uuid4().hex}"
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
+
+
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """df, written as a table to the shared folder and read from there: what comes after neither computes it again
+    nor carries its plan, and lost executors cost nothing of it."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
