@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm.history import repeated_records
 from millrace.llm.leakage import find_leaks
+from millrace.llm.linking import link_parties, linked_pairs
 from millrace.llm.mojibake import find_garbled
 from millrace.llm.packing import pack_texts, packing_report
+from millrace.llm.quality import text_quality
 from millrace.session import table
 
 
@@ -20,6 +22,15 @@ def p2_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_garbled(table(spark, sf_dir, "meta"))
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linked_pairs(table(spark, sf_dir, "testdata"))
+
+
+def p3_parties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row_urn with the party that it belongs to."""
+    return link_parties(table(spark, sf_dir, "testdata"))
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_records(table(spark, sf_dir, "meta"))
 
@@ -43,14 +54,28 @@ def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rated = text_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "common_words"))
+    return rated.filter("not is_prose").select("doc_id").distinct()
+
+
+def p8_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The statistics of every document with the probability that it is prose."""
+    return text_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "common_words"))
+
+
 QUERIES = {
     "p2_found": p2_found,
     "p2_restored": p2_restored,
+    "p3_found": p3_found,
+    "p3_parties": p3_parties,
     "p4_found": p4_found,
     "p6_containers": p6_containers,
     "p6_unused": p6_unused,
     "p7_found": p7_found,
     "p7_shares": p7_shares,
+    "p8_found": p8_found,
+    "p8_statistics": p8_statistics,
 }
 
 SQL: dict[str, str] = {}
