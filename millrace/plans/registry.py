@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
-MODULES = ["ingest_queries"]
+MODULES = ["catalog_queries", "table_queries", "value_queries", "ontology_queries", "search_queries", "ingest_queries"]
 
 
 def _gather(attribute: str) -> dict:
