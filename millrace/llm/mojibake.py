@@ -160,7 +160,9 @@ def restorations(token: str) -> list[tuple[str, str, bool]]:
             if len({_script(c) for c in word} - {None}) > 1:
                 continue
             western = wrong in ("cp1252", "latin-1", "cp1250", "iso8859-2", "cp437", "cp850", "cp852", "mac-roman", "cp1254", "iso8859-15")
-            out.setdefault(word, (f"{wrong}>utf-8" + f"x{rounds}" * (rounds > 1), western or given >= 2 and not left))
+            sure = western or given >= 2 and not left
+            if sure or word not in out:
+                out[word] = (f"{wrong}>utf-8" + f"x{rounds}" * (rounds > 1), sure) if not out.get(word, ("", False))[1] else out[word]
         if len(token) >= MIN_LETTERS and all(ord(c) < 128 or c in table for c in token):
             data = bytes(table[c] if ord(c) > 127 else ord(c) for c in token)
             for true in WRITTEN_IN:
