@@ -40,4 +40,29 @@ def p5_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"p1_found": p1_found, "p1_loaded": p1_loaded, "p1_errors": p1_errors, "p5_found": p5_found, "p5_changes": p5_changes, "p5_table": p5_table}
-SQL: dict[str, str] = {}
+#: The same rules as a regular expression for each layout, put together from its columns. Real days are spelt out.
+_DAY = (
+    "(?:[0-9]{4}-(?:(?:0[13578]|1[02])-(?:0[1-9]|[12][0-9]|3[01])|(?:0[469]|11)-(?:0[1-9]|[12][0-9]|30)|02-(?:0[1-9]|1[0-9]|2[0-8]))"
+    "|(?:[0-9]{2}(?:0[48]|[2468][048]|[13579][26])|(?:[02468][048]|[13579][26])00)-02-29)"
+)
+SQL: dict[str, str] = {
+    "p1_found": rf"""
+        WITH c AS (
+            SELECT layout_id, pos, col_type, required, regexp_escape(sep) AS s, quotechar AS q,
+                CASE WHEN length(sep) = 1 THEN '[^' || regexp_escape(sep) || ']' ELSE '(?:[^|]|\|[^|])' END AS any_sign,
+                CASE WHEN length(sep) = 1 THEN '[^' || quotechar || regexp_escape(sep) || ']' ELSE '(?:[^' || quotechar || '|]|\|[^|])' END AS first_sign,
+                CASE WHEN length(sep) = 1 THEN '[^ ' || quotechar || regexp_escape(sep) || ']' ELSE '(?:[^ ' || quotechar || '|]|\|[^|])' END AS first_letter,
+                CASE WHEN length(sep) = 1 THEN '[^ ' || regexp_escape(sep) || ']' ELSE '(?:[^ |]|\|[^|])' END AS letter,
+                CASE col_type WHEN 'bigint' THEN '[+-]?0*[0-9]{{1,18}}' WHEN 'decimal' THEN '[+-]?[0-9]+(?:\.[0-9]+)?' WHEN 'boolean' THEN '(?i:true|false)' WHEN 'date' THEN '{_DAY}' END AS v
+            FROM layouts),
+        cells AS (
+            SELECT layout_id, pos, s, CASE
+                WHEN v IS NULL AND required THEN '(?:' || q || ' *(?:[^ ' || q || ']|' || q || q || ')(?:[^' || q || ']|' || q || q || ')*' || q || '|' || first_letter || any_sign || '*| +' || letter || any_sign || '*)'
+                WHEN v IS NULL THEN '(?:' || q || '(?:[^' || q || ']|' || q || q || ')*' || q || '|' || first_sign || any_sign || '*)?'
+                WHEN required THEN '(?:' || q || ' *' || v || ' *' || q || '| *' || v || ' *)'
+                ELSE '(?:' || q || ' *(?:' || v || ')? *' || q || '| *(?:' || v || ')? *)' END AS cell
+            FROM c),
+        patterns AS (SELECT layout_id, string_agg(CASE WHEN pos > 1 THEN s ELSE '' END || cell, '' ORDER BY pos) AS pattern FROM cells GROUP BY layout_id)
+        SELECT line_id FROM testdata_lines LEFT JOIN patterns USING (layout_id)
+        WHERE NOT coalesce(regexp_full_match(regexp_replace(line, '\r$', ''), pattern, 's'), false)""",
+}
