@@ -32,8 +32,9 @@ def filter_catalog(catalog: DataFrame, expressions: list[str]) -> DataFrame:
 
 
 def first_of_each(catalog: DataFrame, key: str, order: list[str | Column]) -> DataFrame:
-    """One record of each key, the first in order; records whose key is null are kept."""
-    rank = F.row_number().over(Window.partitionBy(key).orderBy(*order))
+    """One record of each key, the first in order; records whose key is null are kept, and spread by what orders them."""
+    spread = F.when(F.col(key).isNull(), F.xxhash64(*order))
+    rank = F.row_number().over(Window.partitionBy(key, spread).orderBy(*order))
     return catalog.withColumn("_rank", rank).filter(F.col(key).isNull() | (F.col("_rank") == 1)).drop("_rank")
 
 

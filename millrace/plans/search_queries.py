@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.functions.analyzers import text_general, text_language, text_ws
 from millrace.operators import access, search
 from millrace.operators.tables import value_stats
 from millrace.session import table
@@ -53,6 +54,31 @@ def search_topk_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.top(scored.withColumn("score", F.round("score", 6)), 100, "doc_id")
 
 
+def search_synonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    known = schema()
+    widened = search.Schema(known.fields, known.default, {"tender": ["mortgage", "easement"]})
+    return search.search(table(spark, sf_dir, "documents"), "tender", widened).select("doc_id", "lang")
+
+
+def delete_by_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.without_matches(table(spark, sf_dir, "documents"), "lang:fr OR source:legacy_cd", schema()).select("doc_id", "lang")
+
+
+def analyze_general(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = text_general(F.col("text"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.size(words).alias("words"), F.size(F.array_distinct(words)).alias("distinct_words"))
+
+
+def analyze_whitespace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "meta").filter("file is not null").select("meta_id", F.array_join(text_ws(F.col("file")), "|").alias("parts"))
+
+
+def analyze_english(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each stemmed word of the English decisions occurs."""
+    stems = table(spark, sf_dir, "documents").filter("lang = 'en'").select(F.explode(text_language(F.col("text"), "en")).alias("stem"))
+    return stems.groupBy("stem").agg(F.count("*").alias("n"))
+
+
 RULES = [access.Rule("blocked_sources", "sources", "deny_all"), access.Rule("languages", "langs", "require_one"), access.Rule("courts", "courts", "require_all")]
 USERS = {
     "abac_deny_all": access.User("a", {"blocked_sources": ["bulk_scan", "legacy_cd"]}),
@@ -83,6 +109,11 @@ QUERIES = {
     **{name: _restricted(user) for name, user in USERS.items()},
     "search_topk_bm25": search_topk_bm25,
     "search_restricted_stats": search_restricted_stats,
+    "search_synonyms": search_synonyms,
+    "delete_by_query": delete_by_query,
+    "analyze_general": analyze_general,
+    "analyze_whitespace": analyze_whitespace,
+    "analyze_english": analyze_english,
 }
 
 _T = r"regexp_extract_all(lower(text), '[\p{L}\p{N}_'']+')"
@@ -98,6 +129,10 @@ def _has(word: str) -> str:
 
 _MOVES = "coalesce(list_min(list_transform(list_filter(range(1, len(t) + 1), lambda q: t[q] = '{0}'), lambda q: abs(q - (p + {1})))), 1048576)"
 SQL = {
+    "search_synonyms": _where(f"{_has('tender')} OR {_has('mortgage')} OR {_has('easement')}"),
+    "delete_by_query": "SELECT doc_id, lang FROM documents WHERE NOT coalesce(lang = 'fr', false) AND NOT coalesce(source = 'legacy_cd', false)",
+    "analyze_general": f"SELECT doc_id, CAST(len({_T}) AS INTEGER) AS words, CAST(len(list_distinct({_T})) AS INTEGER) AS distinct_words FROM documents",
+    "analyze_whitespace": r"SELECT meta_id, array_to_string(list_filter(regexp_split_to_array(file, '\s+'), lambda t: t <> ''), '|') AS parts FROM meta WHERE file IS NOT NULL",
     "search_term": _where(f"{_has('schedule')} AND lang = 'en'"),
     "search_phrase": _where("contains(' ' || array_to_string(t, ' ') || ' ', ' careful witness ')"),
     "search_wildcard": _where("len(list_filter(t, lambda w: regexp_full_match(w, 'mortg.ge|inspec.*'))) > 0"),
