@@ -218,7 +218,10 @@ def first_names(changes: DataFrame) -> DataFrame:
 
 def unified_table(lines: DataFrame) -> DataFrame:
     """All records of all files in one table: feed_id, file_id, row and a column per field under the first name it
-    had in its feed, as JSON text without quotes (types differ between files, so text holds all of them whole)."""
+    had in its feed, as JSON text without quotes (types differ between files, so text holds all of them whole).
+
+    Lines sent twice come out once, lines that are no JSON object not at all; a field that a record lacks or holds as
+    null is null; an empty table gives no rows and only the three columns first named."""
     fields = json_fields(lines)
     names = first_names(schema_changes(lines))
     owner = fields.join(names.withColumnRenamed("as_of", "since").withColumnRenamed("file_id", "since_file"), ["feed_id", "field"], "left")
