@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import search_parser as sp
 from millrace.functions.analyzers import text_general
+from millrace.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -172,13 +173,15 @@ def facets(records: DataFrame, value: Column, limit: int = 100, min_count: int =
 def bm25(records: DataFrame, id_col: str, text: Column, terms: list[str], k1: float = 1.2, b: float = 0.75) -> DataFrame:
     """id, score of every record that holds one of the terms (Robertson & Zaragoza 2009).
 
-    Two passes: lengths and document frequencies in one aggregation, then scores row by row; nothing is shuffled but a
+    The texts are read once, for lengths and term counts; totals and scores come from these. Nothing is shuffled but a
     single row of totals.
     """
     terms = sorted({t.lower() for t in terms})
     tokens = text_general(F.coalesce(text, F.lit("")))
-    times = lambda word: F.size(F.filter(tokens, lambda t: t == word))
-    counted = records.select(F.col(id_col), F.size(tokens).alias("len"), *[times(w).alias(f"tf{i}") for i, w in enumerate(terms)])
+    times = lambda words, word: F.size(F.filter(words, lambda t: t == word))
+    # Inside the transform the words are found once for all terms; written down, the counts serve both passes.
+    counts = F.transform(F.array(tokens), lambda words: F.struct(F.size(words).alias("len"), *[times(words, w).alias(f"tf{i}") for i, w in enumerate(terms)]))
+    counted = cut_lineage(records.select(F.col(id_col), counts[0].alias("c")).select(id_col, "c.*"), "terms")
     totals = counted.agg(F.count("*").alias("n"), F.avg("len").alias("avg"), *[F.count_if(F.col(f"tf{i}") > 0).alias(f"df{i}") for i in range(len(terms))]).first()
     score, any_hit = F.lit(0.0), F.lit(False)
     for i in range(len(terms)):
