@@ -39,26 +39,53 @@ def vocabulary(texts: DataFrame, words: Column) -> DataFrame:
     return texts.select(F.explode(words).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
 
 
-def _deletions(word: Column) -> Column:
-    """The word and what is left of it without one letter."""
+def _shorter(word: Column) -> Column:
+    """What is left of a word without one letter."""
     size = F.length(word)
-    without = F.transform(F.sequence(F.lit(1), F.greatest(size, F.lit(1))), lambda i: F.concat(F.substring(word, F.lit(1), i - 1), F.substring(word, i + 1, size)))
-    return F.array_distinct(F.array_append(without, word))
+    return F.transform(F.sequence(F.lit(1), F.greatest(size, F.lit(1))), lambda i: F.concat(F.substring(word, F.lit(1), i - 1), F.substring(word, i + 1, size)))
+
+
+def _deletions(word: Column, letters: int = 1) -> Column:
+    """The word and what is left of it without so many letters or fewer."""
+    out = F.array(word)
+    for _ in range(letters):
+        out = F.array_distinct(F.concat(out, F.flatten(F.transform(out, _shorter))))
+    return out
+
+
+def _swaps(word: Column) -> Column:
+    """The word with two letters next to each other swapped, in each place."""
+    size = F.length(word)
+    swapped = F.transform(
+        F.sequence(F.lit(1), F.greatest(size - 1, F.lit(1))), lambda i: F.concat(F.substring(word, F.lit(1), i - 1), F.substring(word, i + 1, F.lit(1)), F.substring(word, i, F.lit(1)), F.substring(word, i + 2, size))
+    )
+    return F.when(size > 1, swapped).otherwise(F.array().cast("array<string>"))
 
 
 def spelling(words: DataFrame, known: DataFrame) -> DataFrame:
-    """word, correction: the most frequent known word within one edit (a letter more, less, changed, or two swapped),
-    the lesser of equals; null for words that are known themselves or have none.
+    """word, correction: the most frequent known word within one edit (a letter more, less, changed, or two neighbours
+    swapped), else within two, the lesser of equals; null for words that are known themselves or have none.
 
-    Candidates meet under what both become without one letter, so no word is compared with all others.
+    Candidates meet under what both become without one letter, or two, so no word is compared with all others.
     """
     asked = words.select("word").filter("word is not null").distinct()
-    mine = asked.select("word", F.explode(_deletions(F.col("word"))).alias("key"))
-    theirs = known.select(F.col("word").alias("candidate"), "n", F.explode(_deletions(F.col("word"))).alias("key"))
-    distance = F.levenshtein("word", "candidate")
-    same_letters = F.array_sort(F.split("word", "")) == F.array_sort(F.split("candidate", ""))
-    swapped = (F.length("word") == F.length("candidate")) & (distance == 2) & same_letters
-    near = mine.join(theirs, "key").select("word", "candidate", "n").distinct().filter((distance <= 1) | swapped)
-    rank = F.row_number().over(Window.partitionBy("word").orderBy((F.col("candidate") == F.col("word")).desc(), F.desc("n"), "candidate"))
-    best = near.withColumn("rank", rank).filter("rank = 1").select("word", F.when(F.col("candidate") != F.col("word"), F.col("candidate")).alias("correction"))
-    return asked.join(best, "word", "left")
+    word, candidate = F.col("word"), F.col("candidate")
+    within_one = (F.levenshtein(word, candidate) <= 1) | F.array_contains(_swaps(word), candidate)
+    # Two edits, either of which may be a swap; a swap made undoes itself, so the last one is looked at from the other end.
+    within_two = (
+        (F.levenshtein(word, candidate) <= 2)
+        | F.exists(_swaps(word), lambda w: F.levenshtein(w, candidate) <= 1)
+        | F.exists(_swaps(candidate), lambda c: F.levenshtein(word, c) <= 1)
+        | F.arrays_overlap(_swaps(word), _swaps(candidate))
+    )
+
+    def best(asked: DataFrame, letters: int, near: Column) -> DataFrame:
+        mine = asked.select("word", F.explode(_deletions(word, letters)).alias("key"))
+        theirs = known.select(F.col("word").alias("candidate"), "n", F.explode(_deletions(word, letters)).alias("key"))
+        met = mine.join(theirs, "key").select("word", "candidate", "n").distinct().filter(near)
+        rank = F.row_number().over(Window.partitionBy("word").orderBy((candidate == word).desc(), F.desc("n"), "candidate"))
+        return met.withColumn("rank", rank).filter("rank = 1").select("word", F.when(candidate != word, candidate).alias("correction"))
+
+    first = best(asked, 1, within_one)
+    second = best(asked.join(first, "word", "left_anti"), 2, within_two)
+    return asked.join(first.unionByName(second), "word", "left")

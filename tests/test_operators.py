@@ -186,3 +186,23 @@ def test_stream_loads_once(spark, tmp_path):
     assert run() == [("", 3), ("a", 1), ("b", 2)]
     (source / "2.json").write_text('{"sha256":"b","v":9}\n{"sha256":"c","v":4}\n')
     assert run() == [("", 3), ("a", 1), ("b", 2), ("c", 4)]
+
+
+def test_spelling_two_edits(spark):
+    def edits(word):
+        splits = [(word[:i], word[i:]) for i in range(len(word) + 1)]
+        return {a + b[1:] for a, b in splits if b} | {a + b[1] + b[0] + b[2:] for a, b in splits if len(b) > 1} | {a + c + b[k:] for a, b in splits for c in "abcd" for k in (0, 1) if b or not k}
+
+    known = {"abcd": 3, "dcba": 2, "ab": 5, "bdacb": 2, "cccc": 1, "acbd": 1, "dabcab": 4}
+    asked = ["bcda", "abdc", "badc", "ca", "dc", "bacdb", "ccdd", "dddd", "abcd", "cabd", "bdcab", "dbacba", "a", "ddabca", "cacbbd"]
+
+    def correct(word):
+        near = edits(word)
+        for found in ({word} & set(known), near & set(known), {w for e in near for w in edits(e)} & set(known)):
+            if found:
+                best = min(found, key=lambda w: (-known[w], w))
+                return None if best == word else best
+        return None
+
+    got = {r.word: r.correction for r in fuzzy.spelling(spark.createDataFrame([(w,) for w in asked], "word string"), spark.createDataFrame(list(known.items()), "word string, n long")).collect()}
+    assert got == {w: correct(w) for w in asked}
