@@ -22,8 +22,6 @@ from dataclasses import dataclass, field
 _BIGINT = re.compile(r"[+-]?[0-9]+")
 _DECIMAL = re.compile(r"[+-]?[0-9]+(?:\.[0-9]+)?")
 _DATE = re.compile(r"[0-9]{4}-[0-9]{2}-[0-9]{2}")
-#: A quoted cell longer than this is not looked for any further; keeps recovery linear.
-MAX_QUOTED_CHARS = 1 << 20
 
 
 def is_bigint(cell: str) -> bool:
@@ -75,13 +73,11 @@ class RecordGrammar:
     sep: str
     quote: str
     columns: list[tuple[str, str, bool]]
-    _quoted: re.Pattern = field(init=False)
+    _closing: tuple[str, int, int] = field(init=False, default=("", 0, -1))
 
     def __post_init__(self) -> None:
         if not self.sep:
             raise ValueError("a layout needs a separator")
-        q = re.escape(self.quote) if self.quote else None
-        self._quoted = re.compile(f"(?s)(?:[^{q}]|{q}{q}){{0,{MAX_QUOTED_CHARS}}}") if q else None
         self._width = len(self.columns)
         self._typed = [(i, name, CHECKS[kind]) for i, (name, kind, _) in enumerate(self.columns) if kind in CHECKS]
         self._required = [(i, name) for i, (name, _, required) in enumerate(self.columns) if required]
@@ -102,9 +98,29 @@ class RecordGrammar:
         cells.append(text[pos:stop])
         return stop
 
+    def _close(self, text: str, pos: int, end: int) -> int:
+        """Where the quoted cell whose content starts at pos is closed: at the first quote that isn't one of a pair. The end
+        if it isn't."""
+        q = self.quote
+        while text.startswith(q + q, pos, end):
+            pos += 2 * len(q)
+        if text.startswith(q, pos, end):
+            return pos
+        # From here the next single quote is the same for all starts up to it; those of a file are looked for once.
+        seen, start, close = self._closing
+        if end == len(text) and seen is text and start <= pos <= close:
+            return close
+        at = text.find(q, pos, end)
+        while at >= 0 and text.startswith(q, at + len(q), end):
+            at = text.find(q, at + 2 * len(q), end)
+        at = end if at < 0 else at
+        if end == len(text):
+            self._closing = (text, pos, at)
+        return at
+
     def _quoted_cell(self, text: str, pos: int, end: int, cells: list[str]) -> int:
         q = self.quote
-        close = self._quoted.match(text, pos + len(q), end).end()
+        close = self._close(text, pos + len(q), end)
         if not text.startswith(q, close, end):
             raise _Broken("quoted cell is not closed", pos)
         cells.append(text[pos + len(q) : close].replace(q + q, q))
@@ -152,7 +168,7 @@ class RecordGrammar:
         q, size = self.quote, len(text)
         while True:
             if q and text.startswith(q, pos):
-                close = self._quoted.match(text, pos + len(q)).end()
+                close = self._close(text, pos + len(q), size)
                 pos = close + len(q)
                 if not text.startswith(q, close) or not (pos >= size or text.startswith((self.sep, "\n", "\r\n"), pos)):
                     return None

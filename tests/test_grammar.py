@@ -1,5 +1,7 @@
 import base64
 import datetime
+import random
+import re
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -114,3 +116,22 @@ def test_read_files(spark, tmp_path):
     (tmp_path / "f.csv").write_text('a,1,\n"b,2,\nc,3,\n')
     out = read_delimited_files(spark, str(tmp_path), RecordGrammar(",", '"', COLUMNS)).orderBy("row").collect()
     assert [(r.row, r.cells and r.cells["a"], r._load_error) for r in out] == [(1, "a", None), (2, None, "quoted cell is not closed"), (3, "c", None)]
+
+
+def test_long_quoted_cells():
+    grammar = RecordGrammar(",", '"', [("a", "bigint", True), ("b", "string", False)])
+    cell = 'x""y' * 400_000
+    text = f'1,"{cell}"'
+    assert grammar.line(text).cells == ["1", cell.replace('""', '"')]
+    assert [r.error for r in grammar.file(f"{text}\n2,b")] == [None, None]
+
+
+def test_closing_quote_against_pattern():
+    r = random.Random(3)
+    grammar = RecordGrammar(",", '"', [("a", "string", False)])
+    pattern = re.compile(r'(?s)(?:[^"]|"")*')
+    for _ in range(300):
+        text = "".join(r.choice('"",\na') for _ in range(r.randint(0, 30)))
+        for end in (len(text), len(text) // 2):
+            for pos in r.sample(range(end + 1), end + 1):
+                assert grammar._close(text, pos, end) == pattern.match(text, pos, end).end(), (text, pos, end)
