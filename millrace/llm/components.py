@@ -15,13 +15,15 @@ def connected(edges: DataFrame, step: Callable[[DataFrame, str], DataFrame], rou
     doubling. step writes a table of that name and gives it back; a round is one job, and as its table is written no
     round computes an earlier one again.
     """
+    least = edges.groupBy("x").agg(F.min("y").alias("near")).select("x", F.least("x", "near").alias("label"))
     label = None
     for n in range(rounds):
-        if label is None:
-            moved = edges.groupBy("x").agg(F.min("y").alias("near")).select("x", F.least("x", "near").alias("label"), F.lit(True).alias("moved"))
+        last = least if label is None else label
+        around = edges.join(last.select(F.col("x").alias("y"), "label"), "y").groupBy("x").agg(F.min("label").alias("near"))
+        near = last.join(around, "x").select("x", F.col("label").alias("was"), F.least("label", "near").alias("near"))
+        if label is None:  # most graphs are stars around their least node, and settled by now
+            moved = near.select("x", F.col("near").alias("label"), (F.col("near") < F.col("was")).alias("moved"))
         else:
-            least = edges.join(label.select(F.col("x").alias("y"), "label"), "y").groupBy("x").agg(F.min("label").alias("near"))
-            near = label.join(least, "x").select("x", F.col("label").alias("was"), F.least("label", "near").alias("near"))
             jump = label.select(F.col("x").alias("near"), F.col("label").alias("beyond"))
             new = F.least("near", F.coalesce("beyond", "near"))
             moved = near.join(jump, "near", "left").select("x", new.alias("label"), (new < F.col("was")).alias("moved"))
