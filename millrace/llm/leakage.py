@@ -2,25 +2,27 @@
 
 Texts are reduced to their letters and digits in lower case; of every WINDOW consecutive k-grams the least hash is kept.
 Two texts that share WINDOW + K - 1 such characters in a row thus share a fingerprint. Fingerprints of corpus and test
-items are joined; pairs with enough in common are then aligned, character by character, bridging small changes.
+items are joined; every pair that shares one is then aligned, character by character, bridging small changes.
 """
 
 from __future__ import annotations
 
 import bisect
+import math
 import re
+import sys
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.session import cut_lineage
 
 K, WINDOW = 16, 12
-#: Share of an item's fingerprints a document must hold for the pair to be aligned; well below what a case shows.
-CANDIDATE_SHARE = 0.1
+#: Items that are aligned with a document at once; a document that meets more takes more rows.
+AT_ONCE = 64
 #: Share of an item's words, in one or two stretches of at least MIN_WORDS words each, that makes a case.
 MIN_SHARE, MIN_WORDS = 0.38, 10
 #: Up to so many test fingerprints go to the tasks as a list to filter by; beyond it every fingerprint is joined.
@@ -91,6 +93,29 @@ def fingerprint_column(only: np.ndarray | None = None, k: int = K, window: int =
     return column.asNondeterministic()  # so that a filter on it doesn't compute it twice
 
 
+def _seeds(chars: str) -> np.ndarray:
+    """A hash of every SEED characters in a row."""
+    codes = np.frombuffer(chars.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+    if codes.size < SEED:
+        return np.empty(0, dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        hashes, size, power = (codes + np.uint64(1)) * np.uint64(0xBF58476D1CE4E5B9), 1, np.uint64(0x9E3779B97F4A7C15)
+        hashes ^= hashes >> np.uint64(29)
+        while size < SEED:  # a power of two
+            hashes = hashes[:-size] * power + hashes[size:]
+            power = power * power
+            size *= 2
+    return hashes
+
+
+def _marked(starts: np.ndarray, length: int, size: int) -> np.ndarray:
+    """Which of so many places lie within one of the stretches of that length."""
+    change = np.zeros(size + 1, dtype=np.int64)
+    change[starts] += 1
+    change[starts + length] -= 1
+    return np.cumsum(change[:-1]) > 0
+
+
 class Item:
     """A test item ready for alignment: its letters and digits, their word numbers, and its seeds."""
 
@@ -101,6 +126,45 @@ class Item:
             self.word_of += [n] * len(word)
         self.chars = "".join(pieces)
         self.words = self.word_of[-1] + 1 if self.word_of else 0
+        self.seeds = _seeds(self.chars)
+        ends = np.cumsum([0, *map(len, pieces)])
+        least = lambda n: int((ends[n:] - ends[:-n]).min()) if 0 < n <= self.words else sys.maxsize
+        words = math.ceil(MIN_SHARE * self.words - 1e-9)
+        self.window = max(SEED, least(MIN_WORDS) - 4)
+        # Characters of the shortest stretch or two that make a case; at either end two may lack.
+        self.least = min([least(max(MIN_WORDS, words)), *(least(n) + least(words - n) for n in range(MIN_WORDS, words - MIN_WORDS + 1))]) - 8
+
+    def segments(self, seeds: np.ndarray) -> list[tuple[int, int, int]]:
+        """(place in the text, place in the item, characters) of every run of SEED and more that both have, given the
+        text's seeds in order."""
+        order = np.argsort(self.seeds, kind="stable")
+        own = self.seeds[order]
+        if not own.size or not seeds.size:
+            return []
+        first = np.searchsorted(own, seeds)
+        first[first == own.size] = 0
+        at = np.flatnonzero(own[first] == seeds)
+        first, times = first[at], np.searchsorted(own, seeds[at], "right") - first[at]
+        text = np.repeat(at, times)
+        item = order[np.repeat(first - np.cumsum(times) + times, times) + np.arange(times.sum())]
+        by_diagonal = np.lexsort((text, text - item))
+        text, item = text[by_diagonal], item[by_diagonal]
+        start = np.flatnonzero(np.diff(text - item, prepend=-sys.maxsize) | (np.diff(text, prepend=-sys.maxsize) != 1))
+        length = np.diff(start, append=text.size) + SEED - 1
+        return list(zip(text[start].tolist(), item[start].tolist(), length.tolist()))
+
+    def may_be_in(self, seeds: np.ndarray) -> bool:
+        """Whether enough of the item lies in stretches most of whose characters stand, in any order, within the sorted
+        seeds of a text. What this refuses the alignment would; it asks for less, as gaps may be spread unevenly."""
+        size = len(self.chars)
+        if not seeds.size or size < self.window:
+            return False
+        at = np.searchsorted(seeds, self.seeds)
+        at[at == seeds.size] = 0
+        there = _marked(np.flatnonzero(seeds[at] == self.seeds), SEED, size)
+        met = np.concatenate([[0], np.cumsum(there)])
+        dense = np.flatnonzero(met[self.window :] - met[: -self.window] >= 0.7 * self.window)
+        return int(_marked(dense, self.window, size).sum()) >= 0.75 * self.least
 
     def covered_words(self, start: int, end: int) -> int:
         """Whole words within a stretch; one that lacks a character or two at the edge still counts."""
@@ -149,32 +213,14 @@ def share_of_item(item: Item, chains: list[tuple[int, int, int, int]]) -> float:
 
 def leaked_items(text: str, candidates: list[tuple[int, Item]]) -> list[tuple[int, float]]:
     """Of the candidate items those that the text gives away, with the share of their words."""
-    seeds: dict[str, list[tuple[int, int]]] = {}
-    for c, (_, item) in enumerate(candidates):
-        for i in range(len(item.chars) - SEED + 1):
-            seeds.setdefault(item.chars[i : i + SEED], []).append((c, i))
-    chars = re.sub(r"[\W_]+", "", text.lower())
-    runs: list[dict[int, list[int]]] = [{} for _ in candidates]  # by diagonal: start and end in the document
-    done: list[list[tuple[int, int, int]]] = [[] for _ in candidates]
-    get = seeds.get
-    for d in range(len(chars) - SEED + 1):
-        hits = get(chars[d : d + SEED])
-        if hits is None:
-            continue
-        for c, i in hits:
-            run = runs[c].get(d - i)
-            if run is not None and run[1] == d:
-                run[1] = d + 1
-            else:
-                if run is not None:
-                    done[c].append((run[0], run[0] - d + i, run[1] - run[0] + SEED - 1))
-                runs[c][d - i] = [d, d + 1]
+    seeds = _seeds(re.sub(r"[\W_]+", "", text.lower()))
+    there = np.unique(seeds)
     out = []
-    for c, (item_id, item) in enumerate(candidates):
-        segments = done[c] + [(a, a - diagonal, b - a + SEED - 1) for diagonal, (a, b) in runs[c].items()]
-        share = share_of_item(item, stretches(segments))
-        if share >= MIN_SHARE:
-            out.append((item_id, share))
+    for item_id, item in candidates:
+        if item.may_be_in(there):
+            share = share_of_item(item, stretches(item.segments(seeds)))
+            if share >= MIN_SHARE:
+                out.append((item_id, share))
     return out
 
 
@@ -206,8 +252,6 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     docs = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").filter("text is not null")
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").alias("item_text")).filter("item_text is not null")
     item_prints = cut_lineage(items.select("item_id", F.explode(fingerprint_column()("item_text")).alias("print")).distinct())
-    per_item = item_prints.groupBy("item_id").agg(F.count("*").alias("prints"))
-
     distinct = item_prints.select("print").distinct()
     known = distinct.limit(MAX_FILTER + 1).collect()
     only = np.unique(np.array([r[0] for r in known], dtype=np.int64).view(np.uint64)) if len(known) <= MAX_FILTER else None
@@ -217,15 +261,18 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         hits = cut_lineage(hits.withColumn("part", F.monotonically_increasing_id()))
     else:
         hits = hits.withColumn("part", F.xxhash64("doc_id", "text"))
+    # Pairs are few bytes but much work, so their number of tasks isn't left to their size.
+    session = documents.sparkSession
+    tasks = max(int(session.conf.get("spark.sql.shuffle.partitions")), 2 * session.sparkContext.defaultParallelism)
     pairs = (
         hits.select("part", F.explode("prints").alias("print"))
         .join(item_prints, "print")
-        .groupBy("part", "item_id")
-        .agg(F.count("*").alias("shared"))
-        .join(per_item, "item_id")
-        .filter(F.col("shared") >= F.greatest(F.lit(2), CANDIDATE_SHARE * F.col("prints")))
+        .select("part", "item_id")
+        .distinct()
+        .repartition(tasks, "part")
+        .withColumn("slice", F.pmod(F.xxhash64("item_id"), F.ceil(F.count("*").over(Window.partitionBy("part")) / AT_ONCE)))
         .join(items, "item_id")
-        .groupBy("part")
+        .groupBy("part", "slice")
         .agg(F.collect_list(F.struct("item_id", "item_text")).alias("items"))
     )
     found = pairs.join(hits.select("part", "doc_id", "text"), "part").select("doc_id", F.explode(_aligned("text", "items")).alias("hit"))

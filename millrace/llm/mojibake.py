@@ -50,12 +50,31 @@ def _to_byte(encoding: str) -> dict[str, int]:
     return table
 
 
-def _expected(char: str) -> bool:
-    """What UTF-8 spans of the corpus' scripts decode to: letters with marks, Greek, Cyrillic, common signs."""
+def _frequent(char: str) -> bool:
+    """What a single well-formed sequence may well decode to: letters with marks, Greek, Cyrillic, common signs."""
     code = ord(char)
     return 0xA0 <= code < 0x180 or 0x218 <= code < 0x21C or 0x370 <= code < 0x460 or 0x490 <= code < 0x500 or 0x2010 <= code < 0x2030 or char in "‰‹›€№™�﻿" or 0x1E00 <= code < 0x2000
 
 
+def _writing(char: str) -> str:
+    """The script of a letter by the first word of its name; kana and Chinese characters go together."""
+    name = unicodedata.name(char, "").split(" ")[0].split("-")[0]
+    return "CJK" if name in ("HIRAGANA", "KATAKANA", "IDEOGRAPHIC", "FULLWIDTH") else name
+
+
+def _credible(decoded: str) -> bool:
+    """Whether a span's text was meant: of any one script, if more than a sequence or two says so by chance. Characters
+    of the supplementary planes, emoji among them, take four bytes that chance doesn't give."""
+    rest = [c for c in decoded if not _frequent(c) and c not in "\u200d\ufe0f"]
+    if not rest:
+        return True
+    if any(unicodedata.category(c) in ("Cn", "Co", "Cs", "Cc") for c in rest):
+        return False
+    near = [c for c in rest if ord(c) < 0x10000]
+    letters = {_writing(c) for c in near if unicodedata.category(c)[0] in "LM"}
+    return len(letters) <= 1 and (not near or len(rest) >= 2)
+
+
 def utf8_spans(data: list[int]) -> list[tuple[int, int]]:
     """The automaton: maximal runs of well-formed multibyte sequences in a list of bytes (-1: no byte)."""
     spans, i, size = [], 0, len(data)
@@ -93,7 +112,7 @@ def decode_spans(text: str, encoding: str) -> tuple[str, int, int]:
             decoded = bytes(data[start:end]).decode("utf-8")
         except UnicodeDecodeError:
             continue
-        if not all(_expected(c) for c in decoded):
+        if not _credible(decoded):
             continue
         out += [text[last:start], decoded]
         last, given, foreign = end, given + len(decoded), foreign - (end - start)
@@ -146,8 +165,14 @@ def _plausible(word: str) -> bool:
 def restorations(token: str) -> list[tuple[str, str, bool]]:
     """(restored word, how, sure) for each way to read the word's bytes otherwise; a way is `read as>written in`.
     Sure are UTF-8 spans that cover a word's characters beyond ASCII and couldn't stand there by chance."""
+    ways = _ways(token)
+    raised = _LOWERED.sub(lambda m: m.group().upper(), token) if token.islower() else token
+    return ways if raised == token or any(sure for _, _, sure in ways) else _ways(raised)
+
+
+def _ways(token: str) -> list[tuple[str, str, bool]]:
     out: dict[str, tuple[str, bool]] = {}
-    token = _LOWERED.sub(lambda m: m.group().upper(), token)
+    missed: dict[str, int] = {}
     for wrong in READ_AS:
         table = _to_byte(wrong)
         word, rounds, given, left = token, 0, 0, 1
@@ -160,7 +185,9 @@ def restorations(token: str) -> list[tuple[str, str, bool]]:
             if len({_script(c) for c in word} - {None}) > 1:
                 continue
             western = wrong in ("cp1252", "latin-1", "cp1250", "iso8859-2", "cp437", "cp850", "cp852", "mac-roman", "cp1254", "iso8859-15")
-            sure = western or given >= 2 and not left
+            known = all(_frequent(c) for c in word if ord(c) > 127)
+            sure = western or given >= (2 if known else 4) and not left
+            missed[word] = left
             if sure or word not in out:
                 out[word] = (f"{wrong}>utf-8" + f"x{rounds}" * (rounds > 1), sure) if not out.get(word, ("", False))[1] else out[word]
         if len(token) >= MIN_LETTERS and all(ord(c) < 128 or c in table for c in token):
@@ -188,10 +215,12 @@ def restorations(token: str) -> list[tuple[str, str, bool]]:
                     out.setdefault(word, (f"{wrong}>{true}", False))
     raised = _FOREIGN.sub(lambda m: m.group().upper(), token) if token.islower() else token
     if raised != token and len(raised) == len(token):  # garbled first, then put in lower case
-        for word, how, _ in restorations(raised):
+        for word, how, _ in _ways(raised):
             if word.islower() and not how.endswith("utf-8"):
                 out.setdefault(word, (how, False))
-    return [(word, how, sure) for word, (how, sure) in out.items()]
+    # Of several encodings that it may have been read with, those stand that explain most of the word.
+    fewest = min((missed[word] for word, (_, sure) in out.items() if sure), default=0)
+    return [(word, how, sure and missed[word] == fewest) for word, (how, sure) in out.items()]
 
 
 def foreign_words(text: str | None) -> list[str]:

@@ -148,13 +148,13 @@ def pack_texts(
     if not budget_rows:
         offered = F.array().cast("array<struct<budget_id:int,capacity_tokens:int>>")
     per_budget = sized.withColumn("b", F.explode(offered)).select("b.*", "id", "copy", "size")
-    pieces = F.greatest(F.ceil(F.col("size") / F.col("capacity_tokens")), F.lit(1))
-    items = (
-        per_budget.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("bigint"), pieces - 1)))
-        .withColumn("first_token", F.col("piece") * F.col("capacity_tokens"))
-        .withColumn("n_tokens", F.least(F.col("size") - F.col("first_token"), F.col("capacity_tokens").cast("bigint")))
-        .drop("size")
-    )
+    capacity = F.col("capacity_tokens").cast("bigint")
+    whole = F.floor(F.col("size") / capacity)
+    # A piece as long as the capacity is a container of its own; only what is left of each text is packed.
+    full = per_budget.filter(whole > 0).withColumn("piece", F.explode(F.sequence(F.lit(0).cast("bigint"), whole - 1)))
+    full = full.select("budget_id", "capacity_tokens", "id", "copy", "piece", (F.col("piece") * capacity).alias("first_token"), capacity.alias("n_tokens"), (F.lit(2 << 60) + F.monotonically_increasing_id()).alias("container_id"))
+    rest = F.col("size") - whole * capacity
+    items = per_budget.filter((rest > 0) | (F.col("size") == 0)).select("budget_id", "capacity_tokens", "id", "copy", whole.alias("piece"), (whole * capacity).alias("first_token"), rest.alias("n_tokens"))
 
     def packer(level: int):
         def pack(group: pd.DataFrame) -> pd.DataFrame:
@@ -170,13 +170,13 @@ def pack_texts(
     sharded = items.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("bigint"))
     first = sharded.groupBy("budget_id", "shard").applyInPandas(packer(0), schema)
     if shards == 1:
-        return first.select(*result)
+        return first.drop("open").unionByName(full).select(*result)
     # Items of containers still open: at most OPEN_BINS containers a shard, so a small share of all.
     first = cut_lineage(first)
     again = max(1, math.ceil(shards / 64))
     left = first.filter("open").withColumn("shard", F.pmod(F.shiftright("container_id", 28), F.lit(again)).cast("bigint")).drop("container_id", "open")
     second = left.groupBy("budget_id", "shard").applyInPandas(packer(1), schema)
-    return first.filter("not open").unionByName(second).select(*result)
+    return first.filter("not open").unionByName(second).drop("open").unionByName(full).select(*result)
 
 
 def packing_report(placed: DataFrame) -> DataFrame:

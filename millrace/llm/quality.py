@@ -153,10 +153,45 @@ def _leaf(node, values: list[float]) -> float:
     return node
 
 
+def _flat(tree) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A tree as arrays: statistic (-1 in a leaf), threshold, child at most, child above, value. A node is [statistic,
+    threshold, at most, above], a leaf its value."""
+    nodes: list[list[float]] = []
+
+    def add(node) -> int:
+        at = len(nodes)
+        nodes.append([-1, 0.0, at, at, 0.0])
+        if isinstance(node, list):
+            nodes[at][:4] = [node[0], node[1], add(node[2]), add(node[3])]
+        else:
+            nodes[at][4] = node
+        return at
+
+    add(tree)
+    columns = list(zip(*nodes))
+    return tuple(np.array(c, dtype=d) for c, d in zip(columns, (np.intp, float, np.intp, np.intp, float)))
+
+
+def raw_scores(values: np.ndarray, model: dict) -> np.ndarray:
+    """The trees' sum for each row of statistics."""
+    total = np.full(len(values), float(model["base"]))
+    rows = np.arange(len(values))
+    for tree in model["trees"]:
+        statistic, threshold, least, above, value = _flat(tree)
+        at = np.zeros(len(values), dtype=np.intp)
+        while len(values) and (statistic[at] >= 0).any():
+            at = np.where(values[rows, statistic[at]] <= threshold[at], least[at], above[at])
+        total += value[at]
+    return total
+
+
+def probabilities(values: np.ndarray, model: dict) -> np.ndarray:
+    """Calibrated probabilities that texts with these statistics are prose."""
+    return 1 / (1 + np.exp(-np.clip(model["slope"] * raw_scores(values, model) + model["shift"], -50, 50)))
+
+
 def probability(values: list[float], model: dict) -> float:
-    """Calibrated probability that the text is prose. A tree's node is [statistic, threshold, at most, above]."""
-    raw = model["base"] + sum(_leaf(tree, values) for tree in model["trees"])
-    return 1 / (1 + math.exp(-max(-50.0, min(50.0, model["slope"] * raw + model["shift"]))))
+    return float(probabilities(np.array([values]), model)[0])
 
 
 _RESULT = T.StructType([T.StructField(s, T.DoubleType()) for s in STATISTICS] + [T.StructField("p_prose", T.DoubleType())])
@@ -174,11 +209,9 @@ def quality_column(common: frozenset[str], model_path: str | None = None):
     @F.arrow_udf(returnType=_RESULT)
     def column(texts: pa.Array) -> pa.Array:
         model = load_model(model_path)
-        out = []
-        for text in texts:
-            values = statistics(text.as_py(), common)
-            out.append(None if values is None else dict(zip(STATISTICS, values), p_prose=probability(values, model)))
-        return pa.array(out, type=_ARROW)
+        found = [statistics(text.as_py(), common) for text in texts]
+        rated = iter(probabilities(np.array([v for v in found if v is not None]).reshape(-1, len(STATISTICS)), model).tolist())
+        return pa.array([None if v is None else dict(zip(STATISTICS, v), p_prose=next(rated)) for v in found], type=_ARROW)
 
     return column.asNondeterministic()  # so that several uses of its fields don't compute it again
 

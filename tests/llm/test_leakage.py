@@ -2,7 +2,8 @@ import random
 
 import numpy as np
 
-from millrace.llm.leakage import K, WINDOW, find_leaks, fingerprints, normalized_bytes
+from millrace.llm.leakage import K, WINDOW, Item, find_leaks, fingerprints, leaked_items, normalized_bytes
+from millrace.llm.leakage import _seeds as seeds
 
 
 def words(seed, n):
@@ -53,3 +54,35 @@ def test_many_fingerprints_are_joined(spark, monkeypatch):
     d, b = spark.createDataFrame(docs, "doc_id bigint, text string, x string"), spark.createDataFrame(items, "item_id bigint, text string, lang string")
     monkeypatch.setattr(leakage, "MAX_FILTER", 5)
     assert {(r.doc_id, r.item_id) for r in find_leaks(d, b).collect()} == {(1, 1)}
+
+
+def test_short_stretches_of_short_words(spark):
+    """Ten of 25 words of three or four letters share one fingerprint at least, and that is enough."""
+    r = random.Random(4)
+    short = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(r.randint(3, 4)))
+    items = [(i, " ".join(short() for _ in range(25)), "en") for i in range(200)]
+    docs = [(i, leaked(" ".join(text.split()[i % 15 : i % 15 + 10]), 3000 + 2 * i), "x") for i, text, _ in items]
+    d, b = spark.createDataFrame(docs, "doc_id bigint, text string, x string"), spark.createDataFrame(items, "item_id bigint, text string, lang string")
+    assert {(r.doc_id, r.item_id) for r in find_leaks(d, b).collect()} == {(i, i) for i in range(200)}
+
+
+def test_the_bound_refuses_nothing_that_aligns():
+    r = random.Random(5)
+    for n in range(150):
+        item = words(7000 + n, 40)
+        text = list(item[: r.randint(16, 40)])
+        for place in r.sample(range(len(text)), r.randint(0, 4)):
+            text[place] = r.choice(["x", text[place][:-1], "another", text[place] + "e"])
+        passage = leaked(" ".join(text), 9000 + 2 * n)
+        one = Item(" ".join(item))
+        chars = "".join(c for c in passage.lower() if c.isalnum())
+        if leaked_items(passage, [(1, one)]):
+            assert one.may_be_in(np.unique(seeds(chars))), n
+
+
+def test_more_items_than_are_aligned_at_once(spark):
+    opening = " ".join(words(1, 15))
+    items = [(i, f"{opening} {' '.join(words(4000 + i, 30))}", "en") for i in range(150)]
+    docs = [(1, f"{opening} {' '.join(t for _, t, _ in items[:100])}", "x")]
+    d, b = spark.createDataFrame(docs, "doc_id bigint, text string, x string"), spark.createDataFrame(items, "item_id bigint, text string, lang string")
+    assert {r.item_id for r in find_leaks(d, b).collect()} >= set(range(100))

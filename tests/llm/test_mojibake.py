@@ -61,3 +61,21 @@ def test_find(spark):
 
 def test_long_text():
     assert foreign_words("ñandú " * 400_000) == ["ñandú"]
+
+
+@pytest.mark.parametrize("text", ["こんにちは", "日本語", "שלום", "مرحبا", "😀", "สวัสดี", "안녕하세요", "Ωμέγα", "Привет", "naïveté"])
+@pytest.mark.parametrize("wrong", ["latin-1", "cp1252"])
+def test_any_script_is_restored(text, wrong):
+    raw = text.encode()
+    read = "".join(chr(b) if wrong == "latin-1" else (bytes([b]).decode(wrong, "ignore") or chr(b)) for b in raw)
+    sure = {word for word, _, sure in restorations(read) if sure}
+    assert sure == {text}, (read, restorations(read))
+
+
+@pytest.mark.parametrize("word", ["café’…", "работа", "орган", "Ärger", "élève", "Øresund", "été", "łódź", "ñandú", "über", "你好", "שלום"])
+def test_sound_words_have_no_sure_way(word):
+    assert not any(sure for _, _, sure in restorations(word)), restorations(word)
+
+
+def test_letters_lowered_afterwards():
+    assert "é" in {w for w, _, _ in restorations("ã©")} and "été" in {w for w, _, _ in restorations("ã©tã©")}
