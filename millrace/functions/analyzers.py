@@ -9,17 +9,6 @@ from pyspark.sql import types as T
 WORD = r"[\p{L}\p{N}_']+"
 #: The usual English stop words.
 ENGLISH_STOP = "a an and are as at be but by for if in into is it no not of on or such that the their then there these they this to was will with".split()
-#: Stop words and elided articles of the languages with an analyzer of their own.
-STOP = {
-    "en": ENGLISH_STOP,
-    "fr": "au aux avec ce ces dans de des du elle en et eux il je la le leur lui ma mais me même mes moi mon ne nos notre nous on ou par pas pour qu que qui sa se ses son sur ta te tes toi ton tu un une vos votre vous".split(),
-    "de": "der die das und oder aber ein eine einer eines nicht von zu mit auf für im in ist an auch als es dem den des".split(),
-    "es": "de la que el en y a los del se las por un para con no una su al lo como más pero sus le ya o".split(),
-    "it": "di a da in con su per tra fra il lo la i gli le un uno una e o che non si".split(),
-    "pt": "de a o que e do da em um para com não uma os no se na por mais as dos como mas ao".split(),
-    "nl": "de en van ik te dat die in een hij het niet zijn is was op aan met als voor er maar om".split(),
-}
-ELIDED = {"fr": r"^(?:l|m|t|qu|n|s|j|d|c|jusqu|quoiqu|lorsqu|puisqu)'", "it": r"^(?:c|l|all|dall|dell|nell|sull|coll|pell|gl|agl|dagl|degl|negl|sugl|un|m|t|s|v|d)'"}
 
 
 def text_general(text: Column) -> Column:
@@ -52,15 +41,12 @@ def char_ngrams(text: Column, low: int, high: int) -> Column:
     return grams[0] if len(grams) == 1 else F.concat(*grams)
 
 
-def text_language(text: Column, language: str) -> Column:
-    """Words without elided articles and stop words; stemmed where the language has a stemmer here (en)."""
-    words = text_general(text)
-    if language in ELIDED:
-        words = F.transform(words, lambda w: F.regexp_replace(w, ELIDED[language], ""))
-    if language == "en":
-        words = F.transform(words, lambda w: F.regexp_replace(w, "'s?$", ""))
-    words = F.filter(words, lambda w: (w != "") & ~w.isin(STOP.get(language, [])))
-    return porter(words) if language == "en" else words
+def text_language(text: Column, language: str, stop=None, protected=()) -> Column:
+    """The words of a text as its language's analyzer gives them (functions/languages.py); English has stop words of its
+    own, other languages those given."""
+    from millrace.functions.languages import analyze
+
+    return analyze(text, language, ENGLISH_STOP if stop is None and language == "en" else stop or (), protected)
 
 
 def text_cjk(text: Column) -> Column:
