@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import threading
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from urllib.parse import parse_qsl
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.values import permission_values
+from millrace.operators.tables import value_stats
 
 MAX_ROWS = 30_000
 ALLOWED = {"q", "rows", "shards.tolerant", "facet.field", "facet", "wt"}
@@ -60,8 +64,12 @@ def users(table: DataFrame) -> DataFrame:
 
 
 def load_user(table: DataFrame, name: str) -> User:
-    """The one user of that name; Refused if there is none."""
-    rows = users(table.filter(F.col("user") == name)).collect()
+    """The one user of that name; Refused if there is none, or, where the table tells entries of a directory apart by a
+    column `entry`, more than one."""
+    own = table.filter(F.col("user") == name)
+    if "entry" in table.columns and own.select("entry").distinct().limit(2).count() > 1:
+        raise Refused(f"more than one user {name}")
+    rows = users(own).collect()
     if not rows:
         raise Refused(f"no user {name}")
     return User(name, {r["attr"]: r["values"] for r in rows})
@@ -90,3 +98,36 @@ def visible(records: DataFrame, user: User, rules: list[Rule]) -> DataFrame:
         if allowed is not None:
             records = records.filter(F.coalesce(allowed, F.lit(False)))
     return records
+
+
+def within_time(spark: SparkSession, seconds: float, run: Callable[[], object]) -> object:
+    """What run gives; its jobs are cancelled and Refused is raised if it takes longer."""
+    tag = f"limit-{uuid.uuid4().hex}"
+    late = threading.Event()
+
+    def stop() -> None:
+        late.set()
+        spark.sparkContext.cancelJobsWithTag(tag)
+
+    timer = threading.Timer(seconds, stop)
+    spark.addTag(tag)
+    spark.sparkContext.addJobTag(tag)
+    timer.start()
+    try:
+        return run()
+    except Exception as error:
+        if late.is_set():
+            raise Refused(f"took longer than {seconds:g} s") from error
+        raise
+    finally:
+        timer.cancel()
+        spark.removeTag(tag)
+        spark.sparkContext.removeJobTag(tag)
+
+
+def response_log(found: DataFrame, returned: DataFrame, user: str, query: str, fields: list[str], started: float) -> DataFrame:
+    """One row for the log of queries: user, query, how many records were found and returned, milliseconds since it
+    started, and the counts of the fields' values among those returned."""
+    counts = value_stats(returned, fields).agg(F.array_sort(F.collect_list(F.struct("field", "value", "n"))).alias("stats"))
+    totals = found.agg(F.count("*").alias("found")).join(F.broadcast(returned.agg(F.count("*").alias("returned")))).join(F.broadcast(counts))
+    return totals.select(F.lit(user).alias("user"), F.lit(query).alias("query"), "found", "returned", (F.unix_millis(F.now()) - int(started * 1000)).alias("millis"), "stats")

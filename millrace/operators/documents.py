@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.values import short_marking
+from millrace.functions.values import short_marking, surname
 from millrace.operators import ontology
+from millrace.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -110,17 +112,60 @@ def search_documents(records: DataFrame, build: Callable[[DataFrame, Column], tu
     return identified.select("id", "raw", *meta, "metadata_error").dropDuplicates(["id"]).join(flat, "id")
 
 
-def compact_graph(nodes: DataFrame, edges: DataFrame, root: int = 1, depth: int = 6) -> DataFrame:
+def compact_graph(nodes: DataFrame, edges: DataFrame, root: int = 1) -> DataFrame:
     """doc_id, data: each graph as compact JSON from its root: [type, label, [[attribute, value]...], [[link, attributes,
-    object]...]], a reversed link marked by `-`. Links are followed to a fixed depth, the deepest first."""
+    object]...]], a reversed link marked by `-`. Links are followed as deep as they go, the deepest first; a document whose
+    links run in a circle has no such form and is an error."""
+    if not ontology.acyclic(edges):
+        raise ValueError("links run in a circle")
     values = F.flatten(F.transform(F.array_sort(F.map_entries("attrs")), lambda e: F.transform(F.array_sort(e["value"]), lambda v: F.to_json(F.array(e["key"], v)))))
     text = lambda c: F.substring(F.to_json(F.array(c)), F.lit(2), F.length(F.to_json(F.array(c))) - 2)
     own = nodes.select("doc_id", "node_id", text(F.col("type")).alias("t"), text(F.col("label")).alias("l"), F.concat(F.lit("["), F.array_join(values, ","), F.lit("]")).alias("a"))
     out = own.select("doc_id", "node_id", F.concat_ws(",", "t", "l", "a").alias("head"), F.lit("[]").alias("links"))
     link_name = text(F.concat(F.when(F.col("reversed"), F.lit("-")).otherwise(F.lit("")), F.col("link_type")))
     joined = edges.select("doc_id", "src", "dst", link_name.alias("n"), F.concat(F.lit("["), F.array_join(values, ","), F.lit("]")).alias("la"))
+    depth, level = 0, edges.select("doc_id", F.col("src").alias("node_id")).distinct()
+    while not level.isEmpty():  # as many rounds as the longest chain has links
+        depth += 1
+        level = cut_lineage(edges.select("doc_id", F.col("dst").alias("node_id"), F.col("src").alias("at")).join(level, ["doc_id", "node_id"], "left_semi").select("doc_id", F.col("at").alias("node_id")).distinct(), "level")
     for _ in range(depth):
         whole = out.select("doc_id", F.col("node_id").alias("dst"), F.concat(F.lit("["), "head", F.lit(","), "links", F.lit("]")).alias("object"))
         under = joined.join(whole, ["doc_id", "dst"]).groupBy("doc_id", F.col("src").alias("node_id")).agg(F.array_join(F.array_sort(F.collect_list(F.concat(F.lit("["), "n", F.lit(","), "la", F.lit(","), "object", F.lit("]")))), ",").alias("inner"))
         out = out.drop("links").join(under, ["doc_id", "node_id"], "left").select("doc_id", "node_id", "head", F.concat(F.lit("["), F.coalesce("inner", F.lit("")), F.lit("]")).alias("links"))
     return out.filter(F.col("node_id") == root).select("doc_id", F.concat(F.lit("["), "head", F.lit(","), "links", F.lit("]")).alias("data"))
+
+
+def load_dataset(spark: SparkSession, paths: list[str], loader: Callable[[SparkSession, list[str]], DataFrame] | None = None, preprocess: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """The records of a dataset: by its own loader, or else JSON lines with a column for every field in any of them; then
+    what its own preprocessing makes of them."""
+    records = loader(spark, paths) if loader else spark.read.json(paths)
+    return records.transform(preprocess) if preprocess else records
+
+
+def built_by(records: DataFrame, builder: Callable[[dict], dict | None], schema: str, debug: bool = False) -> DataFrame:
+    """What a Python function makes of each record, for builders that Columns can't express: rows of the schema and
+    build_error. Records that it gives None for are left out. An exception stops the job with the record in its message;
+    with debug the record comes out with nothing but the error, so that errors can be counted."""
+    out = f"{schema}, build_error string"
+    names = [f.name for f in T._parse_datatype_string(out).fields]
+
+    def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            made = []
+            for record in batch.to_dict("records"):
+                try:
+                    if (one := builder(record)) is not None:
+                        made.append({**one, "build_error": None})
+                except Exception as error:
+                    if not debug:
+                        raise ValueError(f"{type(error).__name__}: {error}, in {record}") from error
+                    made.append({"build_error": f"{type(error).__name__}: {error}"})
+            yield pd.DataFrame(made, columns=names)
+
+    return records.mapInPandas(build, out)
+
+
+def name_graphs(records: DataFrame, doc_id: Column, name: Column) -> tuple[DataFrame, DataFrame]:
+    """A Person under its name for every record; an Entity UNKNOWN where there is none (count them by that label)."""
+    label = F.nullif(surname(name), F.lit(""))
+    return ontology.build_graphs(records, doc_id, [ontology.node(1, "Person", label), ontology.node(2, "Entity", F.when(label.isNull(), "UNKNOWN"))], [])

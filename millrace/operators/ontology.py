@@ -213,22 +213,21 @@ def instant(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
-def acyclic(edges: DataFrame, rounds: int = 100) -> bool:
-    """Whether no document's links run in a circle: ends that nothing leads to are taken away until none is left."""
+def acyclic(edges: DataFrame) -> bool:
+    """Whether no document's links run in a circle: ends that nothing leads to are taken away until none is left, or no
+    more can be; each round is a pass over what is left, so it ends for chains of any length."""
     from millrace.session import cut_lineage
 
     left = edges.select("doc_id", "src", "dst").distinct()
     count = left.count()
-    for _ in range(rounds):
-        if not count:
-            return True
+    while count:
         reached = left.select("doc_id", F.col("dst").alias("src")).distinct()
         left = cut_lineage(left.join(reached, ["doc_id", "src"], "left_semi"), "edges")
         now = left.count()
         if now == count:
             return False
         count = now
-    return False
+    return True
 
 
 # Building graphs from records: a declarative mapping, row by row, without a shuffle.

@@ -35,9 +35,25 @@ def collapse_records(table: DataFrame, key: str, order: list[str]) -> DataFrame:
     return table.groupBy(key).agg(F.array_sort(F.collect_list(record)).alias("records"))
 
 
+def as_text(value: Column, kind: str) -> Column:
+    """Strings as they are, anything else as JSON; null stays null."""
+    if kind == "string":
+        return value
+    if kind.startswith(("array", "map", "struct")):
+        return F.to_json(value)
+    whole = F.to_json(F.array(value))
+    return F.when(value.isNotNull(), F.substring(whole, F.lit(2), F.length(whole) - 2))
+
+
+def without_empty(fields: Column) -> Column:
+    """A map without the entries whose value is null, empty or blank."""
+    return F.map_filter(fields, lambda _, v: v.isNotNull() & (F.trim(v.cast("string")) != ""))
+
+
 def key_by(table: DataFrame, name: str, key: str) -> DataFrame:
     """<name>_key and the whole row as a map of strings, <name>_records."""
-    pairs = [x for c in table.columns for x in (F.lit(c), F.col(c).cast("string"))]
+    kinds = dict(table.dtypes)
+    pairs = [x for c in table.columns for x in (F.lit(c), as_text(F.col(c), kinds[c]))]
     return table.select(F.col(key).alias(f"{name}_key"), F.create_map(*pairs).alias(f"{name}_records"))
 
 
@@ -58,6 +74,16 @@ def key_overlap(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     return every.groupBy("key").agg(F.array_join(F.array_sort(F.collect_set("name")), ",").alias("tables")).groupBy("tables").agg(F.count("*").alias("keys"))
 
 
+def key_overlap_shares(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """tables, keys and, for each table, share_<name>: those keys over all rows of the table; null for a table that
+    doesn't hold them or has no rows."""
+    sizes = [df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("name"), "rows") for name, (df, _) in tables.items()]
+    rows = functools.reduce(DataFrame.unionByName, sizes).agg(F.map_from_entries(F.collect_list(F.struct("name", "rows"))).alias("rows"))
+    held = lambda name: F.array_contains(F.split("tables", ","), name)
+    share = lambda name: F.when(held(name), F.col("keys") / F.nullif(F.col("rows")[name], F.lit(0)))
+    return key_overlap(tables).join(F.broadcast(rows)).select("tables", "keys", *[share(name).alias(f"share_{name}") for name in tables])
+
+
 def heaviest_key(table: DataFrame, key: str) -> DataFrame:
     """The key with the most rows and their number; the least of equals."""
     counts = table.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import bz2
 import gzip
 import hashlib
 import io
 import os
+import re
 import tarfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +24,7 @@ MAX_DEPTH = 8
 CATALOG = "path string, file string, bytes bigint, size string, ctime timestamp, mtime timestamp, mime string, enc string, sha256 string, est_lines bigint, access_path array<struct<kind:string,member:string>>, error string"
 #: First bytes and the type that they tell.
 MAGIC = [(b"PK\x03\x04", "application/zip"), (b"\x1f\x8b", "application/gzip"), (b"BZh", "application/x-bzip2"), (b"\x1f\x9d", "application/x-compress"), (b"7z\xbc\xaf\x27\x1c", "application/x-7z-compressed"), (b"Rar!", "application/x-rar"), (b"%PDF", "application/pdf"), (b"\x89PNG", "image/png"), (b"\xff\xd8\xff", "image/jpeg"), (b"II*\x00", "image/tiff"), (b"MM\x00*", "image/tiff"), (b"\xd0\xcf\x11\xe0", "application/vnd.ms-excel")]
-UNSUPPORTED = {"application/x-compress", "application/x-7z-compressed", "application/x-rar"}
+UNSUPPORTED = {"application/x-7z-compressed", "application/x-rar"}
 OFFICE = (".xlsx", ".docx", ".pptx", ".odt", ".ods", ".odp", ".xls", ".doc", ".ppt")
 
 
@@ -67,28 +70,82 @@ def human_size(size: float) -> str:
     return ""
 
 
-def members(content: bytes, mime: str, name: str) -> Iterator[tuple[str, bytes, object]]:
-    """(name, content, time) of the files of more than no bytes in a container."""
-    if mime == "application/zip":
-        with zipfile.ZipFile(io.BytesIO(content)) as z:
-            for info in z.infolist():
-                if not info.is_dir() and info.file_size:
-                    yield info.filename, z.read(info), pd.Timestamp(*info.date_time)
-    elif mime == "application/x-tar":
-        with tarfile.open(fileobj=io.BytesIO(content)) as t:
-            for info in t:
-                if info.isfile() and info.size:
-                    yield info.name, t.extractfile(info).read(), pd.Timestamp(info.mtime, unit="s")
-    elif mime == "application/gzip":
+Member = tuple[str, bytes, object]
+
+
+def unlzw(data: bytes) -> bytes:
+    """What compress packed (.Z): codes of 9 bits and more, the least bit first, in groups of eight of one width."""
+    if data[:2] != b"\x1f\x9d" or len(data) < 3:
+        raise ValueError("not a compressed file")
+    most, block = data[2] & 31, bool(data[2] & 128)
+    if not 9 <= most <= 16:
+        raise ValueError(f"codes of {most} bits")
+    first = 257 if block else 256
+    table = [bytes([i]) for i in range(256)] + [b""] * (first - 256)
+    out, width, previous = bytearray(), 9, b""
+    bit, end, taken = 24, 8 * len(data), 0
+    while bit + width <= end:
+        at = bit >> 3
+        code = int.from_bytes(data[at : at + 4], "little") >> (bit & 7) & (1 << width) - 1
+        bit, taken = bit + width, taken + 1
+        if block and code == 256:
+            bit += -taken % 8 * width  # the rest of the group is empty
+            del table[first:]
+            width, previous, taken = 9, b"", 0
+            continue
+        if code < len(table):
+            entry = table[code]
+        elif code == len(table) and previous:
+            entry = previous + previous[:1]
+        else:
+            raise ValueError("a code that stands for nothing")
+        out += entry
+        if previous and len(table) < 1 << most:
+            table.append(previous + entry[:1])
+        previous = entry
+        if len(table) == 1 << width and width < most:
+            bit += -taken % 8 * width
+            width, taken = width + 1, 0
+    return bytes(out)
+
+
+def _zip(content: bytes, name: str) -> Iterator[Member]:
+    with zipfile.ZipFile(io.BytesIO(content)) as z:
+        for info in z.infolist():
+            if not info.is_dir() and info.file_size:
+                yield info.filename, z.read(info), pd.Timestamp(*info.date_time)
+
+
+def _tar(content: bytes, name: str) -> Iterator[Member]:
+    with tarfile.open(fileobj=io.BytesIO(content)) as t:
+        for info in t:
+            if info.isfile() and info.size:
+                yield info.name, t.extractfile(info).read(), pd.Timestamp(info.mtime, unit="s")
+
+
+def _single(unpack: Callable[[bytes], bytes]) -> Callable[[bytes, str], Iterator[Member]]:
+    """Formats that hold one file, named like the container without its extension."""
+
+    def read(content: bytes, name: str) -> Iterator[Member]:
         stem, extension = os.path.splitext(os.path.basename(name))
-        data = gzip.decompress(content)
+        data = unpack(content)
         if data:
             yield (stem if len(extension) <= 4 or extension == ".gzip" else "decompressed"), data, None
-    elif mime == "application/x-bzip2":
-        import bz2
 
-        stem, _ = os.path.splitext(os.path.basename(name))
-        yield stem, bz2.decompress(content), None
+    return read
+
+
+#: Containers by type: a function of content and name that gives (name, content, time) of every file of more than no
+#: bytes. Others can be added.
+CONTAINERS: dict[str, Callable[[bytes, str], Iterator[Member]]] = {
+    "application/zip": _zip, "application/x-tar": _tar, "application/gzip": _single(gzip.decompress), "application/x-bzip2": _single(bz2.decompress), "application/x-compress": _single(unlzw),
+}
+
+
+def register_container(mime: str, magic: bytes, read: Callable[[bytes, str], Iterator[Member]]) -> None:
+    """A further format, told by a file's first bytes."""
+    MAGIC.insert(0, (magic, mime))
+    CONTAINERS[mime] = read
 
 
 def catalog_rows(path: str, file: str, content: bytes, mtime, access: list[dict], depth: int = 0) -> Iterator[dict]:
@@ -98,25 +155,27 @@ def catalog_rows(path: str, file: str, content: bytes, mtime, access: list[dict]
         "path": path, "file": file, "bytes": len(content), "size": human_size(len(content)), "ctime": None, "mtime": mtime, "mime": mime, "enc": encoding,
         "sha256": hashlib.sha256(content).hexdigest(), "est_lines": line_estimate(head, len(content)) if encoding != "binary" else None, "access_path": access, "error": None,
     }
-    container = mime in ("application/zip", "application/x-tar", "application/gzip", "application/x-bzip2") and not file.lower().endswith(OFFICE)
-    if mime in UNSUPPORTED:
+    container = mime in CONTAINERS and not file.lower().endswith(OFFICE)
+    if container and depth >= MAX_DEPTH:
+        row["error"] = f"archives within archives beyond {MAX_DEPTH}"
+    if mime in UNSUPPORTED and not container:
         row["error"] = f"{mime} can't be opened here"
     inner: list[dict] = []
     if container and depth < MAX_DEPTH:
         try:
             base = access or [{"kind": "file", "member": f"{path}/{file}"}]
-            for name, data, time in members(content, mime, file):
+            for name, data, time in CONTAINERS[mime](content, file):
                 kind = mime.rsplit("/", 1)[1].removeprefix("x-")
                 inner += catalog_rows(f"{path}/{file}", name, data, time, [*base, {"kind": kind, "member": name}], depth + 1)
         except Exception as error:  # a broken archive is a fault of the file, not of the scan
-            row["error"] = f"{type(error).__name__}: {error}"[:200]
+            row["error"] = f"{type(error).__name__}: {error}"
     yield row
     yield from inner
 
 
 def scan(spark: SparkSession, folder: str) -> DataFrame:
-    """A catalogue row for every file under a folder and every member of its archives; each file is read by one task.
-    Spark gives files of no bytes to no task, so they, like empty members, are left out."""
+    """A catalogue row for every file under a folder and every member of its archives that isn't empty; each file is read
+    by one task. Archives within archives are opened MAX_DEPTH deep, those beyond carry an error."""
     root = folder.rstrip("/").removeprefix("file://")
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -128,7 +187,10 @@ def scan(spark: SparkSession, folder: str) -> DataFrame:
                 yield pd.DataFrame(list(catalog_rows(where, file, bytes(content), mtime, [])), columns=columns)
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
-    return files.select("path", "content", "modificationTime").mapInPandas(rows, CATALOG)
+    # Spark gives files of no bytes to no task; they are what its listing has besides.
+    listed = spark.createDataFrame([(unquote(re.sub("^file:/+", "file:/", p)),) for p in files.inputFiles()], "path string")
+    empty = listed.join(files.select("path"), "path", "left_anti").select("path", F.lit(b"").alias("content"), F.lit(None).cast("timestamp").alias("modificationTime"))
+    return files.select("path", "content", "modificationTime").unionByName(empty).mapInPandas(rows, CATALOG)
 
 
 def read_catalog(spark: SparkSession, pattern: str) -> DataFrame:
@@ -172,3 +234,8 @@ def read_markings(spark: SparkSession, pattern: str) -> DataFrame:
 def record_ids(files: DataFrame, path: str = "path", row: str = "row") -> DataFrame:
     """src_file_rec of rows numbered from 1 in their file: <path>:<row from 0>."""
     return files.withColumn("src_file_rec", F.concat(F.col(path), F.lit(":"), (F.col(row) - 1).cast("string")))
+
+
+def write_selection(catalog: DataFrame, folder: str) -> None:
+    """The selected records as JSON lines, in order of their full path."""
+    catalog.orderBy("path", "file").write.mode("overwrite").json(folder)

@@ -148,7 +148,7 @@ def test_scan(spark, tmp_path):
     rows = {(r.path, r.file): r for r in scan.scan(spark, str(tmp_path)).collect()}
     assert set(rows) == {
         ("00000001", "a.csv"), ("00000001", "g.txt.gz"), ("00000001/g.txt.gz", "g.txt"), ("00000001", "z.zip"), ("00000001/z.zip", "t.tar"),
-        ("00000001/z.zip/t.tar", "in.txt"), ("00000001", "bad.zip"), ("00000001", "b.7z"),
+        ("00000001/z.zip/t.tar", "in.txt"), ("00000001", "bad.zip"), ("00000001", "b.7z"), ("00000001", "empty.txt"),
     }
     assert rows[("00000001", "a.csv")].est_lines == 3 and rows[("00000001", "a.csv")].mime == "text/csv"
     assert scan.file_type(b"") == ("inode/x-empty", "binary")
@@ -156,7 +156,7 @@ def test_scan(spark, tmp_path):
     assert rows[("00000001", "bad.zip")].error and rows[("00000001", "b.7z")].error
     out = str(tmp_path / "catalog")
     scan.write_catalog(scan.scan(spark, str(folder.parent)).drop("access_path"), out)
-    assert spark.read.parquet(out).count() == 8
+    assert spark.read.parquet(out).count() == 9
 
 
 def test_json_lines_and_manifest(spark, tmp_path):
