@@ -13,24 +13,26 @@ def _squeezed(name: Column) -> Column:
 
 
 def ngram_index(names: DataFrame, low: int = 2, high: int = 3) -> DataFrame:
-    """gram, name, output, postings: each gram of each alias with how many aliases hold it. names has name (the alias)
-    and output (what it stands for)."""
-    grams = names.select("name", "output", F.explode(F.array_distinct(char_ngrams(_squeezed(F.col("name")), low, high))).alias("gram"))
-    return grams.withColumn("postings", F.count("*").over(Window.partitionBy("gram")))
+    """gram, name, output, times, postings: each gram of each alias, how often it holds it, and how many places of all
+    aliases do. names has name (the alias) and output (what it stands for)."""
+    grams = names.select("name", "output", F.explode(char_ngrams(_squeezed(F.col("name")), low, high)).alias("gram"))
+    held = grams.groupBy("gram", "name", "output").agg(F.count("*").alias("times"))
+    return held.join(held.groupBy("gram").agg(F.sum("times").alias("postings")), "gram")
 
 
 def best_match(queries: DataFrame, names: DataFrame, low: int = 2, high: int = 3) -> DataFrame:
     """query, output, score: the known name that scores best for each query; queries that share no gram give no row.
 
-    A shared gram of n letters adds n over its number of postings, over the edit distance (1 at least) of the squeezed
-    names. The better of equals is the lesser name.
+    A gram of n letters adds n over its number of postings, for each of its places in the query and each in the alias;
+    all over the edit distance (1 at least) between the squeezed query and what the alias stands for. Scores are summed
+    by what aliases stand for; the better of equals is the lesser.
     """
     wanted = queries.select("query").filter("query is not null").distinct()
-    own = wanted.select("query", F.explode(F.array_distinct(char_ngrams(_squeezed(F.col("query")), low, high))).alias("gram"))
-    shared = own.join(ngram_index(names, low, high), "gram").groupBy("query", "name", "output").agg(F.sum(F.length("gram") / F.col("postings")).alias("weight"))
-    distance = F.greatest(F.lit(1), F.levenshtein(_squeezed(F.col("query")), _squeezed(F.col("name"))))
+    own = wanted.select("query", F.explode(char_ngrams(_squeezed(F.col("query")), low, high)).alias("gram")).groupBy("query", "gram").agg(F.count("*").alias("asked"))
+    shared = own.join(ngram_index(names, low, high), "gram").groupBy("query", "output").agg(F.sum(F.col("asked") * F.col("times") * F.length("gram") / F.col("postings")).alias("weight"))
+    distance = F.greatest(F.lit(1), F.levenshtein(_squeezed(F.col("query")), _squeezed(F.col("output"))))
     scored = shared.withColumn("score", F.round(F.col("weight") / distance, 9))
-    rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "name"))
+    rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "output"))
     return scored.withColumn("rank", rank).filter("rank = 1").select("query", "output", "score")
 
 

@@ -45,7 +45,8 @@ def _canonical(value: Column, kind: Column) -> Column:
 
 
 def json_fields(lines: DataFrame) -> DataFrame:
-    """feed_id, file_id, as_of, row, field (lower case), kind, value (JSON text), canon: one row per non-null field.
+    """feed_id, file_id, as_of, row, field (lower case), kind, value (strings as they are, else JSON), canon: one row per
+    non-null field.
 
     A line sent twice (same file_id and row) counts once, the last to arrive. Lines that are no JSON object give none.
     """
@@ -59,7 +60,7 @@ def json_fields(lines: DataFrame) -> DataFrame:
     return (
         exploded.withColumn("kind", _json_type(F.col("v")))
         .filter("kind is not null")
-        .select("feed_id", "file_id", "as_of", "row", F.lower("name").alias("field"), "kind", F.to_json("v").alias("value"), _canonical(F.col("v"), F.col("kind")).alias("canon"))
+        .select("feed_id", "file_id", "as_of", "row", F.lower("name").alias("field"), "kind", F.when(F.col("kind") == "string", F.variant_get("v", "$", "string")).otherwise(F.to_json("v")).alias("value"), _canonical(F.col("v"), F.col("kind")).alias("canon"))
     )
 
 
@@ -216,20 +217,45 @@ def first_names(changes: DataFrame) -> DataFrame:
     return chain.select("feed_id", "file_id", "as_of", "field", F.col("first").alias("first_name"))
 
 
+def profiles(lines: DataFrame) -> DataFrame:
+    """feed_id, file_id, field, kind, n: every field of every file with the type of most of its values (the first in the
+    alphabet of equals) and their number."""
+    return _profiles(json_fields(lines))
+
+
+def _column_types(named: DataFrame) -> dict[str, str]:
+    """The type that holds all values of a column whole: boolean, bigint, double, else string."""
+    whole = F.col("value").rlike(r"^-?\d{1,18}$")
+    kind = F.when(F.col("kind") == "boolean", 1).when((F.col("kind") == "number") & whole, 2).when(F.col("kind") == "number", 4).otherwise(8)
+    rows = named.groupBy("name").agg(F.bit_or(kind).alias("kinds")).limit(MAX_FIELDS + 1).collect()
+    if len(rows) > MAX_FIELDS:
+        raise ValueError(f"the files have more than {MAX_FIELDS} fields")
+    types = {1: "boolean", 2: "bigint", 4: "double", 6: "double"}
+    return {r["name"]: types.get(r["kinds"], "string") for r in sorted(rows)}
+
+
 def unified_table(lines: DataFrame) -> DataFrame:
     """All records of all files in one table: feed_id, file_id, row and a column per field under the first name it
-    had in its feed, as JSON text without quotes (types differ between files, so text holds all of them whole).
+    had in its feed.
 
-    Lines sent twice come out once, lines that are no JSON object not at all; a field that a record lacks or holds as
-    null is null; an empty table gives no rows and only the three columns first named."""
+    A column is boolean, bigint or double if all its values in all files are (and none stands twice in a record), else
+    text: strings as they are, anything else as JSON. Names that differ only in case are one field; a record that holds
+    such a field twice with different values has both, sorted, as a JSON array. Lines sent twice come out once, lines
+    that are no JSON object not at all; a field that a record lacks or holds as null is null; an empty table gives no
+    rows and only the three columns first named."""
     fields = json_fields(lines)
     names = first_names(schema_changes(lines))
-    owner = fields.join(names.withColumnRenamed("as_of", "since").withColumnRenamed("file_id", "since_file"), ["feed_id", "field"], "left")
-    usable = F.expr("since is not null and struct(since, since_file) <= struct(as_of, file_id)")
-    named = owner.groupBy("feed_id", "file_id", "row", "field").agg(
-        F.first("value").alias("value"), F.max(F.when(usable, F.struct("since", "since_file", "first_name"))).alias("best")
-    ).select("feed_id", "file_id", "row", F.coalesce("best.first_name", "field").alias("name"), F.regexp_replace("value", r'^"(.*)"$', "$1").alias("value"))
-    columns = sorted(r[0] for r in named.select("name").distinct().limit(MAX_FIELDS + 1).collect())
-    if len(columns) > MAX_FIELDS:
-        raise ValueError(f"the files have more than {MAX_FIELDS} fields")
-    return named.groupBy("feed_id", "file_id", "row").pivot("name", columns).agg(F.first("value"))
+    # First the name of each field of each file, of which there are few; then one join to the records by that.
+    held = fields.select("feed_id", "file_id", "as_of", "field").distinct()
+    since = names.select(F.col("feed_id").alias("_feed"), F.col("field").alias("_field"), F.col("as_of").alias("since"), F.col("file_id").alias("since_file"), "first_name")
+    usable = F.col("feed_id").eqNullSafe(F.col("_feed")) & (F.col("field") == F.col("_field")) & (F.struct("since", "since_file") <= F.struct("as_of", "file_id"))
+    known = held.join(since, usable).groupBy("feed_id", "file_id", "field").agg(F.max_by("first_name", F.struct("since", "since_file")).alias("first_name"))
+    known = known.select(F.col("feed_id").alias("_feed"), F.col("file_id").alias("_file"), F.col("field").alias("_field"), "first_name")
+    here = F.col("feed_id").eqNullSafe(F.col("_feed")) & F.col("file_id").eqNullSafe(F.col("_file")) & (F.col("field") == F.col("_field"))
+    named = fields.join(known, here, "left").groupBy("feed_id", "file_id", "row", F.coalesce("first_name", "field").alias("name")).agg(F.array_sort(F.collect_set("value")).alias("values"), F.min("kind").alias("kind"))
+    several = F.size("values") > 1
+    named = named.select("feed_id", "file_id", "row", "name", F.when(several, F.to_json("values")).otherwise(F.col("values")[0]).alias("value"), F.when(several, "array").otherwise(F.col("kind")).alias("kind"))
+    named = cut_lineage(named, "named")
+    types = _column_types(named)
+    wide = named.groupBy("feed_id", "file_id", "row").pivot("name", list(types)).agg(F.first("value"))
+    return wide.select("feed_id", "file_id", "row", *[F.col(f"`{n}`").try_cast(kind).alias(n) for n, kind in types.items()])

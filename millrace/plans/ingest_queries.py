@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators.schema_drift import schema_changes, unified_table
+from millrace.operators.schema_drift import profiles, schema_changes, unified_table
 from millrace.session import table
-from millrace.sources.delimited import failed_lines, load_lines
+from millrace.sources.delimited import failed_in_files, failed_lines, load_lines
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,7 +39,17 @@ def p5_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unified_table(table(spark, sf_dir, "testdata_json"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_loaded": p1_loaded, "p1_errors": p1_errors, "p5_found": p5_found, "p5_changes": p5_changes, "p5_table": p5_table}
+def p1_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What fails when the lines of a file are put together and read as a whole, with recovery after broken quoting."""
+    return failed_in_files(table(spark, sf_dir, "testdata_lines"), table(spark, sf_dir, "layouts")).select("line_id")
+
+
+def p5_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every field of every file with its type and how many records have it."""
+    return profiles(table(spark, sf_dir, "testdata_json")).select("file_id", "field", "kind", "n")
+
+
+QUERIES = {"p1_files": p1_files, "p5_profiles": p5_profiles, "p1_found": p1_found, "p1_loaded": p1_loaded, "p1_errors": p1_errors, "p5_found": p5_found, "p5_changes": p5_changes, "p5_table": p5_table}
 #: The same rules as a regular expression for each layout, put together from its columns. Real days are spelt out.
 _DAY = (
     "(?:[0-9]{4}-(?:(?:0[13578]|1[02])-(?:0[1-9]|[12][0-9]|3[01])|(?:0[469]|11)-(?:0[1-9]|[12][0-9]|30)|02-(?:0[1-9]|1[0-9]|2[0-8]))"
@@ -65,4 +75,13 @@ SQL: dict[str, str] = {
         patterns AS (SELECT layout_id, string_agg(CASE WHEN pos > 1 THEN s ELSE '' END || cell, '' ORDER BY pos) AS pattern FROM cells GROUP BY layout_id)
         SELECT line_id FROM testdata_lines LEFT JOIN patterns USING (layout_id)
         WHERE NOT coalesce(regexp_full_match(regexp_replace(line, '\r$', ''), pattern, 's'), false)""",
+    "p5_profiles": """
+        WITH latest AS (
+            SELECT feed_id, file_id, row, arg_max(line, {'a': arrived_at, 'l': line_id}) AS line FROM testdata_json GROUP BY feed_id, file_id, row),
+        objects AS (SELECT feed_id, file_id, row, CAST(line AS JSON) AS j FROM latest WHERE json_valid(line) AND json_type(CAST(line AS JSON)) = 'OBJECT'),
+        names AS (SELECT feed_id, file_id, j, unnest(json_keys(j)) AS name FROM objects),
+        kinds AS (SELECT feed_id, file_id, lower(name) AS field, json_type(j -> ('$."' || name || '"')) AS t FROM names),
+        typed AS (SELECT *, CASE t WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'ARRAY' THEN 'array' WHEN 'OBJECT' THEN 'object' ELSE 'number' END AS kind FROM kinds WHERE t <> 'NULL'),
+        counted AS (SELECT feed_id, file_id, field, kind, count(*) AS k FROM typed GROUP BY ALL)
+        SELECT file_id, field, arg_min(kind, {'a': -k, 'b': kind}) AS kind, CAST(sum(k) AS BIGINT) AS n FROM counted GROUP BY feed_id, file_id, field""",
 }

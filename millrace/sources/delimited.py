@@ -109,6 +109,41 @@ def failed_lines(lines: DataFrame, layouts: DataFrame) -> DataFrame:
     return parsed.filter(F.col("_parsed.error").isNotNull()).withColumns({"_load_error": F.col("_parsed.error"), "_error_at": F.col("_parsed.at")}).drop("_parsed", "_names")
 
 
+def failed_in_files(lines: DataFrame, layouts: DataFrame, rows_at_once: int = 20_000) -> DataFrame:
+    """line_id, file_id, row, _load_error of what fails when files are read whole: their lines (in order of row) are put
+    together and go through the file grammar, which after broken quoting resumes at the next validated record start.
+
+    A file is read in stretches of so many rows, each by one task, so no file is too long for one. A record that runs on
+    into the lines that follow takes these with it: each of them fails with it, or none.
+    """
+    specs = layout_specs(layouts).select(F.col("layout_id").alias("_layout"), _spec().alias("spec"))
+    joined = lines.select("line_id", "file_id", "layout_id", "row", "line").join(specs, lines["layout_id"].eqNullSafe(specs["_layout"]), "left").drop("_layout")
+    schema = "line_id bigint, file_id bigint, row bigint, _load_error string"
+
+    def parse(group):
+        import bisect
+
+        import pandas as pd
+
+        group = group.sort_values(["row", "line_id"], kind="stable")
+        ids, rows, texts, spec = group["line_id"].tolist(), group["row"].tolist(), [t or "" for t in group["line"].tolist()], group["spec"].iloc[0]
+        file = group["file_id"].iloc[0]
+        if spec is None:
+            return pd.DataFrame([(i, file, r, "unknown layout") for i, r in zip(ids, rows)], columns=[f.split()[0] for f in schema.split(", ")])
+        starts, at = [], 0
+        for text in texts:
+            starts.append(at)
+            at += len(text) + 1
+        out = []
+        for record in RecordGrammar.from_spec(spec).file("\n".join(texts) + "\n"):
+            if record.error:
+                first, last = bisect.bisect_right(starts, record.start) - 1, bisect.bisect_left(starts, max(record.end, record.start + 1))
+                out += [(ids[n], file, rows[n], record.error) for n in range(first, last)]
+        return pd.DataFrame(out, columns=[f.split()[0] for f in schema.split(", ")])
+
+    return joined.groupBy("file_id", "layout_id", F.floor(F.col("row") / rows_at_once).alias("stretch")).applyInPandas(lambda g: parse(g), schema)
+
+
 def read_delimited_files(spark: SparkSession, path: str, layout: RecordGrammar, encoding: str = "utf-8") -> DataFrame:
     """Raw files, whole, one task each, through the file grammar: file, row (from 1), cells or the error.
 

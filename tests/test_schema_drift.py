@@ -71,3 +71,18 @@ def test_matching_is_best(edges):
     got = sum(weight[p] for p in best_matching(edges)) if edges else 0
     best = max(sum(weight.get(p, 0) for p in zip("abcd", perm)) for perm in itertools.permutations("wxyz"))
     assert abs(got - best) < 1e-9
+
+
+def test_one_table_of_typed_values(spark):
+    def line(n, file, day, text):
+        return (n, 1, file, datetime.datetime(2020, 1, day), datetime.datetime(2020, 2, 1), n, text)
+
+    rows = [
+        line(1, 1, 1, '{"name":"say \\"hi\\"\\nthere","n":1,"ok":true,"x":1.5,"mixed":1}'), line(2, 1, 1, '{"a":"y","A":"z","n":2,"x":2}'), line(3, 1, 1, '{"a":"same","A":"same"}'),
+        line(4, 2, 2, '{"name":"b","mixed":"one","ok":false,"deep":{"k":[1,2]}}'),
+    ]
+    df = unified_table(spark.createDataFrame(rows, SCHEMA))
+    assert {c: t for c, t in df.dtypes if c in ("name", "n", "ok", "x", "mixed", "a")} == {"name": "string", "n": "bigint", "ok": "boolean", "x": "double", "mixed": "string", "a": "string"}
+    got = {r.row: r for r in df.collect()}
+    assert got[1].name == 'say "hi"\nthere' and (got[1].n, got[1].ok, got[1].x, got[1].mixed) == (1, True, 1.5, "1") and got[4].mixed == "one"
+    assert got[2].a == '["y","z"]' and got[3].a == "same" and got[4].deep == '{"k":[1,2]}'
