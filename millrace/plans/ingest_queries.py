@@ -85,3 +85,4 @@ SQL: dict[str, str] = {
         counted AS (SELECT feed_id, file_id, field, kind, count(*) AS k FROM typed GROUP BY ALL)
         SELECT file_id, field, arg_min(kind, {'a': -k, 'b': kind}) AS kind, CAST(sum(k) AS BIGINT) AS n FROM counted GROUP BY feed_id, file_id, field""",
 }
+SQL["p1_files"] = SQL["p1_found"]

@@ -33,7 +33,9 @@ def _keyed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 def outer_join_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _keyed(spark, sf_dir)[0].select("customer_key", "orders_key")
+    """Suppliers and customers whose key the other table doesn't have."""
+    keyed = {"supplier": (table(spark, sf_dir, "supplier"), "s_suppkey"), "customer": (table(spark, sf_dir, "customer"), "c_custkey")}
+    return tables.join_by_key(keyed)[0].select("supplier_key", "customer_key")
 
 
 def outer_join_all_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,6 +46,10 @@ def key_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.key_overlap({"part": (table(spark, sf_dir, "part"), "p_partkey"), "lineitem": (table(spark, sf_dir, "lineitem"), "l_partkey"), "supplier": (table(spark, sf_dir, "supplier"), "s_suppkey")})
 
 
+def key_overlap_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.key_overlap_shares({"part": (table(spark, sf_dir, "part"), "p_partkey"), "supplier": (table(spark, sf_dir, "supplier"), "s_suppkey")})
+
+
 def heaviest_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.heaviest_key(table(spark, sf_dir, "lineitem"), "l_partkey")
 
@@ -88,7 +94,7 @@ def events_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in [
-        split_counts, collapse_by_key, collapse_records, outer_join_missing, outer_join_all_keys, key_overlap, heaviest_key, describe_tables, result_stats, facet_lang, facet_event_type,
+        split_counts, collapse_by_key, collapse_records, outer_join_missing, outer_join_all_keys, key_overlap, key_overlap_shares, heaviest_key, describe_tables, result_stats, facet_lang, facet_event_type,
         load_error_counts, unloaded_records, markings_join, events_by_hour,
     ]
 }
@@ -102,7 +108,12 @@ SQL = {
         SELECT o_custkey, array_to_string(list_sort(list(DISTINCT o_orderpriority)), '|') AS priorities, array_to_string(list_sort(list(DISTINCT o_orderstatus)), '|') AS statuses
         FROM orders GROUP BY o_custkey""",
     "collapse_records": "SELECT l_orderkey, string_agg(l_linenumber || ':' || l_partkey, ',' ORDER BY l_linenumber, l_partkey) AS records FROM lineitem GROUP BY l_orderkey",
-    "outer_join_missing": "SELECT c_custkey AS customer_key, o_custkey AS orders_key FROM customer FULL JOIN orders ON c_custkey = o_custkey WHERE c_custkey IS NULL OR o_custkey IS NULL",
+    "outer_join_missing": "SELECT s_suppkey AS supplier_key, c_custkey AS customer_key FROM supplier FULL JOIN customer ON s_suppkey = c_custkey WHERE s_suppkey IS NULL OR c_custkey IS NULL",
+    "key_overlap_shares": """
+        WITH k AS (SELECT DISTINCT p_partkey AS key, 'part' AS name FROM part UNION SELECT DISTINCT s_suppkey, 'supplier' FROM supplier),
+        t AS (SELECT string_agg(name, ',' ORDER BY name) AS tables FROM k GROUP BY key),
+        c AS (SELECT tables, count(*) AS keys FROM t GROUP BY tables)
+        SELECT tables, keys, CASE WHEN tables LIKE '%part%' THEN keys / (SELECT count(*) FROM part) END AS share_part, CASE WHEN tables LIKE '%supplier%' THEN keys / (SELECT count(*) FROM supplier) END AS share_supplier FROM c""",
     "outer_join_all_keys": "SELECT c_custkey AS customer_key, o_orderkey, c_name FROM customer JOIN orders ON c_custkey = o_custkey",
     "key_overlap": """
         SELECT tables, count(*) AS keys FROM (

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import values
 from millrace.functions.analyzers import char_ngrams, text_general
-from millrace.operators import fuzzy
+from millrace.operators import fuzzy, validation
 from millrace.operators.ontology import document_id
 from millrace.session import table
 
@@ -67,7 +67,7 @@ def doc_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def edit_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _testdata(spark, sf_dir).filter("name is not null and region is not null").select("src_file_rec", F.levenshtein("name", "region").alias("distance"))
+    return table(spark, sf_dir, "part").select("p_partkey", F.levenshtein("p_name", "p_type").alias("distance"))
 
 
 def ngram_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,10 +76,21 @@ def ngram_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tfidf_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nation names without their last letter, matched to the nations."""
-    nations = table(spark, sf_dir, "nation")
-    known = nations.select(F.col("n_name").alias("name"), F.col("n_name").alias("output"))
-    return fuzzy.best_match(nations.select(F.substring("n_name", F.lit(1), F.length("n_name") - 1).alias("query")), known)
+    """Regions as typed, without their second letter, matched to the regions in lower case."""
+    regions = _testdata(spark, sf_dir).filter("trim(region) <> ''")
+    known = regions.select(F.lower(F.trim("region")).alias("name")).distinct().withColumn("output", F.col("name"))
+    return fuzzy.best_match(regions.select(F.concat(F.left("region", F.lit(1)), F.substring("region", 3, 1000)).alias("query")), known)
+
+
+def country_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The regions taken for countries, looked up by name as typed, by code, or by a former name."""
+    regions = _testdata(spark, sf_dir)
+    name = F.lower(F.trim("region"))
+    dimension = regions.filter("trim(region) <> ''").select(name.alias("name")).distinct()
+    dimension = dimension.select(F.upper(F.left(F.md5(F.encode("name", "utf-8")), F.lit(8))).alias("code"), F.lit(None).cast("string").alias("alpha3"), "name", F.array(F.concat(F.lit("former "), "name")).alias("aliases"))
+    typed = F.when(F.col("cid") % 3 == 0, F.concat(F.lit("Former "), "region")).otherwise(F.col("region"))
+    found = validation.country_of(regions.withColumn("typed", typed), "typed", dimension, fuzzy=False)
+    return found.select("src_file_rec", "country_code", "country_error")
 
 
 def spell_correct(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,7 +105,7 @@ QUERIES = {
     f.__name__: f
     for f in [
         validate_digits, validate_email, validate_gender, validate_geoloc, person_name_unknown, person_name_known, csv_clean_values, quotes_stripped, addresses_cleaned, doc_ids,
-        edit_distances, ngram_counts, tfidf_match, spell_correct,
+        edit_distances, ngram_counts, tfidf_match, country_names, spell_correct,
     ]
 }
 
@@ -127,20 +138,23 @@ SQL = {
         SELECT src_file_rec, regexp_replace(regexp_replace(regexp_replace(coalesce(name, '') || ',  , ' || coalesce(region, '') || ' , ', '\s+', ' ', 'g'), '(?:\s*,)+', ',', 'g'), '[,\s]+$', '') AS address
         FROM testdata""",
     "doc_ids": "SELECT src_file_rec, sha256(cid || src_file_rec) AS id FROM testdata",
-    "edit_distances": "SELECT src_file_rec, CAST(levenshtein(name, region) AS INTEGER) AS distance FROM testdata WHERE name IS NOT NULL AND region IS NOT NULL AND octet_length(encode(name)) = length(name)"
-    " AND octet_length(encode(region)) = length(region) UNION ALL SELECT NULL, NULL WHERE false",
+    "edit_distances": "SELECT p_partkey, CAST(levenshtein(p_name, p_type) AS INTEGER) AS distance FROM part",
+    "country_names": """
+        SELECT src_file_rec, CASE WHEN trim(region) <> '' THEN upper(left(md5(lower(trim(region))), 8)) WHEN cid % 3 = 0 THEN NULL END AS country_code,
+            CASE WHEN trim(region) = '' AND cid % 3 = 0 THEN 'not a country' END AS country_error FROM testdata""",
     "ngram_counts": """
         SELECT substr(region, i, n) AS gram, count(*) AS n FROM (
             SELECT region, n, unnest(range(1, length(region) - n + 2)) AS i FROM testdata, (SELECT unnest([1, 2, 3]) AS n) WHERE region IS NOT NULL) GROUP BY 1""",
-    "tfidf_match": """
-        WITH q AS (SELECT DISTINCT left(n_name, length(n_name) - 1) AS query FROM nation WHERE n_name IS NOT NULL),
+    "tfidf_match": r"""
+        WITH q AS (SELECT DISTINCT left(region, 1) || substr(region, 3) AS query FROM testdata WHERE trim(region) <> ''),
+        k AS (SELECT DISTINCT lower(trim(region)) AS output FROM testdata WHERE trim(region) <> ''),
         sizes AS (SELECT unnest([2, 3]) AS n),
-        qg AS (SELECT DISTINCT query, substr(s, i, n) AS gram FROM (SELECT query, s, n, unnest(range(1, length(s) - n + 2)) AS i FROM (SELECT query, regexp_replace(lower(query), '\\s+', '', 'g') AS s FROM q), sizes)),
-        ng AS (SELECT DISTINCT n_name AS name, substr(s, i, n) AS gram FROM (SELECT n_name, s, n, unnest(range(1, length(s) - n + 2)) AS i FROM (SELECT n_name, regexp_replace(lower(n_name), '\\s+', '', 'g') AS s FROM nation), sizes)),
+        qg AS (SELECT query, substr(s, i, n) AS gram, count(*) AS asked FROM (SELECT query, s, n, unnest(range(1, length(s) - n + 2)) AS i FROM (SELECT query, regexp_replace(lower(query), '\s+', '', 'g') AS s FROM q), sizes) GROUP BY ALL),
+        ng AS (SELECT output, substr(s, i, n) AS gram FROM (SELECT output, s, n, unnest(range(1, length(s) - n + 2)) AS i FROM (SELECT output, regexp_replace(output, '\s+', '', 'g') AS s FROM k), sizes)),
         p AS (SELECT *, count(*) OVER (PARTITION BY gram) AS postings FROM ng),
-        scored AS (SELECT query, name, round(sum(length(gram) / postings) / greatest(1, levenshtein(regexp_replace(lower(query), '\\s+', '', 'g'), regexp_replace(lower(name), '\\s+', '', 'g'))), 9) AS score
-            FROM qg JOIN p USING (gram) GROUP BY query, name)
-        SELECT query, name AS output, score FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, name) AS r FROM scored) WHERE r = 1""".replace("\\\\", "\\"),
+        scored AS (SELECT query, output, round(sum(asked * length(gram) / postings) / greatest(1, levenshtein(regexp_replace(lower(query), '\s+', '', 'g'), regexp_replace(output, '\s+', '', 'g'))), 9) AS score
+            FROM qg JOIN p USING (gram) GROUP BY query, output)
+        SELECT query, output, score FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, output) AS r FROM scored) WHERE r = 1""",
     "spell_correct": r"""
         WITH known AS (SELECT word, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(title), '[\p{L}\p{N}_'']+')) AS word FROM cat_markings) GROUP BY word),
         asked AS (SELECT DISTINCT left(word, 1) || substr(word, 3) AS word FROM known),
@@ -148,5 +162,3 @@ SQL = {
         best AS (SELECT *, row_number() OVER (PARTITION BY word ORDER BY candidate = word DESC, n DESC, candidate) AS r FROM near)
         SELECT a.word, CASE WHEN b.candidate <> a.word THEN b.candidate END AS correction FROM asked a LEFT JOIN best b ON a.word = b.word AND b.r = 1""",
 }
-#: DuckDB counts bytes where this counts characters, so the distances of accented names can't be compared there.
-del SQL["edit_distances"]
