@@ -10,7 +10,7 @@ from __future__ import annotations
 import functools
 import json
 import math
-import os
+import pkgutil
 import re
 
 import numpy as np
@@ -143,16 +143,12 @@ def statistics(text: str | None, common: frozenset[str]) -> list[float] | None:
 
 @functools.lru_cache(maxsize=4)
 def load_model(path: str | None = None) -> dict:
-    with open(path or os.path.join(os.path.dirname(__file__), "quality_model.json"), encoding="utf-8") as file:
+    if path is None:
+        return json.loads(pkgutil.get_data("millrace.llm", "quality_model.json"))
+    with open(path, encoding="utf-8") as file:
         return json.load(file)
 
 
-def _leaf(node, values: list[float]) -> float:
-    while isinstance(node, list):
-        node = node[2] if values[node[0]] <= node[1] else node[3]
-    return node
-
-
 def _flat(tree) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """A tree as arrays: statistic (-1 in a leaf), threshold, child at most, child above, value. A node is [statistic,
     threshold, at most, above], a leaf its value."""
