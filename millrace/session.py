@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -22,8 +24,21 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, **conf:
     return SparkSession.builder.master(master).config(map=settings).getOrCreate()
 
 
+def _is_local(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process, so that any folder of this machine is shared."""
+    return spark.sparkContext.master.split("[")[0] == "local"
+
+
 def make_importable(spark: SparkSession) -> None:
-    """Lets Python workers import this package from where the driver has it, whatever their working folder."""
+    """Lets Python workers import this package, whatever their working folder: from where the driver has it, and on a
+    cluster, whose machines may not have it there, from an archive that goes to each of them once."""
+    context = spark.sparkContext
+    if not _is_local(spark) and not getattr(context, "_millrace_sent", False):
+        here = os.path.dirname(os.path.abspath(__file__))
+        folder = tempfile.mkdtemp(prefix="millrace-")  # the driver's own: Spark serves the archive from it
+        atexit.register(shutil.rmtree, folder, True)
+        context.addPyFile(shutil.make_archive(f"{folder}/millrace", "zip", os.path.dirname(here), os.path.basename(here)))
+        context._millrace_sent = True
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     known = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
     if root not in known:
@@ -39,6 +54,8 @@ def shared_dir(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
+        if current.isEmpty() and not _is_local(spark):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = current.get() if current.isDefined() else tempfile.mkdtemp(prefix="millrace-")
         spark.sparkContext.setCheckpointDir(folder) if current.isEmpty() else None
     return folder
