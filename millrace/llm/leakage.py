@@ -8,6 +8,7 @@ items are joined; every pair that shares one is then aligned, character by chara
 from __future__ import annotations
 
 import bisect
+import functools
 import math
 import re
 import sys
@@ -126,7 +127,9 @@ class Item:
             self.word_of += [n] * len(word)
         self.chars = "".join(pieces)
         self.words = self.word_of[-1] + 1 if self.word_of else 0
-        self.seeds = _seeds(self.chars)
+        seeds = _seeds(self.chars)
+        self.places = np.argsort(seeds, kind="stable")
+        self.seeds = seeds[self.places]
         ends = np.cumsum([0, *map(len, pieces)])
         least = lambda n: int((ends[n:] - ends[:-n]).min()) if 0 < n <= self.words else sys.maxsize
         words = math.ceil(MIN_SHARE * self.words - 1e-9)
@@ -134,38 +137,33 @@ class Item:
         # Characters of the shortest stretch or two that make a case; at either end two may lack.
         self.least = min([least(max(MIN_WORDS, words)), *(least(n) + least(words - n) for n in range(MIN_WORDS, words - MIN_WORDS + 1))]) - 8
 
-    def segments(self, seeds: np.ndarray) -> list[tuple[int, int, int]]:
-        """(place in the text, place in the item, characters) of every run of SEED and more that both have, given the
-        text's seeds in order."""
-        order = np.argsort(self.seeds, kind="stable")
-        own = self.seeds[order]
-        if not own.size or not seeds.size:
-            return []
-        first = np.searchsorted(own, seeds)
-        first[first == own.size] = 0
-        at = np.flatnonzero(own[first] == seeds)
-        first, times = first[at], np.searchsorted(own, seeds[at], "right") - first[at]
-        text = np.repeat(at, times)
-        item = order[np.repeat(first - np.cumsum(times) + times, times) + np.arange(times.sum())]
-        by_diagonal = np.lexsort((text, text - item))
-        text, item = text[by_diagonal], item[by_diagonal]
-        start = np.flatnonzero(np.diff(text - item, prepend=-sys.maxsize) | (np.diff(text, prepend=-sys.maxsize) != 1))
-        length = np.diff(start, append=text.size) + SEED - 1
-        return list(zip(text[start].tolist(), item[start].tolist(), length.tolist()))
+    def within(self, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """From where to where each of the item's seeds stands among the sorted seeds of a text."""
+        return np.searchsorted(seeds, self.seeds), np.searchsorted(seeds, self.seeds, "right")
 
-    def may_be_in(self, seeds: np.ndarray) -> bool:
-        """Whether enough of the item lies in stretches most of whose characters stand, in any order, within the sorted
-        seeds of a text. What this refuses the alignment would; it asks for less, as gaps may be spread unevenly."""
+    def may_be_in(self, first: np.ndarray, last: np.ndarray) -> bool:
+        """Whether enough of the item lies in stretches most of whose characters stand, in any order, within a text. What
+        this refuses the alignment would; it asks for less, as gaps may be spread unevenly."""
         size = len(self.chars)
-        if not seeds.size or size < self.window:
+        if size < self.window:
             return False
-        at = np.searchsorted(seeds, self.seeds)
-        at[at == seeds.size] = 0
-        there = _marked(np.flatnonzero(seeds[at] == self.seeds), SEED, size)
+        there = _marked(self.places[last > first], SEED, size)
         met = np.concatenate([[0], np.cumsum(there)])
         dense = np.flatnonzero(met[self.window :] - met[: -self.window] >= 0.7 * self.window)
         return int(_marked(dense, self.window, size).sum()) >= 0.75 * self.least
 
+    def segments(self, places: np.ndarray, first: np.ndarray, last: np.ndarray) -> list[tuple[int, int, int]]:
+        """(place in the text, place in the item, characters) of every run of SEED and more that both have, given the
+        places of the text's sorted seeds."""
+        times = last - first
+        item = np.repeat(self.places, times)
+        text = places[np.repeat(first - np.cumsum(times) + times, times) + np.arange(times.sum())]
+        by_diagonal = np.lexsort((text, text - item))
+        text, item = text[by_diagonal], item[by_diagonal]
+        start = np.flatnonzero((np.diff(text - item, prepend=-sys.maxsize) != 0) | (np.diff(text, prepend=-sys.maxsize) != 1))
+        length = np.diff(start, append=text.size) + SEED - 1
+        return list(zip(text[start].tolist(), item[start].tolist(), length.tolist()))
+
     def covered_words(self, start: int, end: int) -> int:
         """Whole words within a stretch; one that lacks a character or two at the edge still counts."""
         first, last = self.word_of[start], self.word_of[end - 1]
@@ -214,30 +212,32 @@ def share_of_item(item: Item, chains: list[tuple[int, int, int, int]]) -> float:
 def leaked_items(text: str, candidates: list[tuple[int, Item]]) -> list[tuple[int, float]]:
     """Of the candidate items those that the text gives away, with the share of their words."""
     seeds = _seeds(re.sub(r"[\W_]+", "", text.lower()))
-    there = np.unique(seeds)
+    places = np.argsort(seeds, kind="stable")
+    seeds = seeds[places]
     out = []
     for item_id, item in candidates:
-        if item.may_be_in(there):
-            share = share_of_item(item, stretches(item.segments(seeds)))
+        first, last = item.within(seeds)
+        if item.may_be_in(first, last):
+            share = share_of_item(item, stretches(item.segments(places, first, last)))
             if share >= MIN_SHARE:
                 out.append((item_id, share))
     return out
 
 
+@functools.lru_cache(maxsize=4096)  # those met lately; others are made again
+def _item(text: str) -> Item:
+    return Item(text)
+
+
 _FOUND = T.ArrayType(T.StructType([T.StructField("item_id", T.LongType()), T.StructField("share", T.DoubleType())]))
 
 
 @F.arrow_udf(returnType=_FOUND)
 def _aligned(texts: pa.Array, items: pa.Array) -> pa.Array:
-    known: dict[tuple[int, str], Item] = {}
     out = []
     for text, group in zip(texts, items):
-        candidates = []
-        for one in group.as_py():
-            key = (one["item_id"], one["item_text"])
-            if key not in known:
-                known[key] = Item(one["item_text"])
-            candidates.append((one["item_id"], known[key]))
+        ids, passages = group.values.field("item_id").to_pylist(), group.values.field("item_text").to_pylist()
+        candidates = [(i, _item(t)) for i, t in zip(ids, passages)]
         out.append([{"item_id": i, "share": s} for i, s in leaked_items(text.as_py(), candidates)])
     return pa.array(out, type=pa.list_(pa.struct([("item_id", pa.int64()), ("share", pa.float64())])))
 
