@@ -154,3 +154,25 @@ def money(value: Column, rates: DataFrame, to: str = "USD") -> Column:
     code = F.upper(F.trim(F.coalesce(F.try_element_at(parts, F.lit(2)), F.lit(to))))
     table = F.create_map(*[x for c, f in sorted(factors.items()) for x in (F.lit(c), F.lit(f))])
     return F.trim(F.try_element_at(parts, F.lit(1))).try_cast("double") * F.try_element_at(table, code)
+
+
+#: Metaphone as a chain of replacements, in order: what English spelling says about the sound of a consonant.
+_SOUNDS = [
+    (r"[^A-Z]", ""), (r"([A-BD-Z])\1+", "$1"), (r"^(?:[GKP]N)", "N"), (r"^AE", "E"), (r"^WR", "R"), (r"^X", "S"), (r"^WH", "W"), (r"MB$", "M"), (r"SCH", "SK"), (r"CIA|CH", "X"), (r"SC(?=[IEY])", "S"), (r"C(?=[IEY])", "S"), (r"C", "K"),
+    (r"DG(?=[EYI])", "J"), (r"D", "T"), (r"GH(?![AEIOU]|$)", ""), (r"GN(?:ED)?$", "N"), (r"G(?=[IEY])", "J"), (r"G", "K"), (r"(?<=[AEIOU])H(?![AEIOU])", ""), (r"CK", "K"), (r"PH", "F"), (r"Q", "K"), (r"S(?=I[OA])|SH", "X"),
+    (r"T(?=I[AO])", "X"), (r"TH", "0"), (r"TCH", "X"), (r"V", "F"), (r"W(?![AEIOU])", ""), (r"(?<!^)X(?=$|[^A-Z])", "KS"), (r"Y(?![AEIOU])", ""), (r"Z", "S"), (r"(?<!^)[AEIOU]", ""), (r"(.)\1+", "$1"),
+]
+
+
+def phonetic(word: Column) -> Column:
+    """What an English word sounds like, by Metaphone (Philips 1990); words that sound alike have the same."""
+    out = F.upper(word)
+    for pattern, sound in _SOUNDS:
+        out = F.regexp_replace(out, pattern, sound)
+    return out
+
+
+def text_phonetic(text: Column) -> Column:
+    """phonetic_en: the words of a text by their sound."""
+    words = F.regexp_extract_all(F.lower(text), F.lit(f"({WORD})"), F.lit(1))
+    return F.filter(F.transform(words, phonetic), lambda w: w != "")

@@ -74,6 +74,13 @@ def person_name(given: Column, family: Column, unknown: Column) -> Column:
     return F.struct(F.when(error.isNull(), F.coalesce(label, plain)).alias("value"), error.alias("error"))
 
 
+def person_attributes(given: Column, family: Column) -> Column:
+    """The attributes that a person's known names give: givennames and surname in lower case; those that are blank are
+    left out."""
+    pairs = F.array(F.struct(F.lit("givennames").alias("k"), F.lower(F.trim(given)).alias("v")), F.struct(F.lit("surname").alias("k"), F.lower(F.trim(surname(family))).alias("v")))
+    return F.map_from_entries(F.transform(F.filter(pairs, lambda p: p["v"].isNotNull() & (p["v"] != "")), lambda p: F.struct(p["k"].alias("k"), F.array(p["v"]).alias("v"))))
+
+
 def phone_e164(value: Column) -> Column:
     """Digits of the international number of `REGION:number` or `+number`; for the regions listed in CALLING."""
     region = F.upper(F.regexp_extract(value, r"^([A-Za-z]{2}):", 1))

@@ -91,11 +91,18 @@ def layout(files: DataFrame, size: str = "bytes", tie: list[str] | None = None,
 
 def merge_update(scanned: DataFrame, known: DataFrame) -> DataFrame:
     """A new scan over the catalogue before it: what is unchanged in size and time keeps its checksum and line count,
-    what is new or changed is marked for a full scan, what is gone is left out."""
+    what is new or changed is marked for a full scan, what is gone is left out. Where both have an access path, the members
+    of archives that haven't changed are carried over from before, as they are not opened again."""
     old = known.select("path", "file", F.col("bytes").alias("_bytes"), F.col("mtime").alias("_mtime"), F.col("sha256").alias("_sha256"), F.col("est_lines").alias("_est_lines"))
     joined = scanned.drop("sha256", "est_lines").join(old, ["path", "file"], "left")
     same = F.col("bytes").eqNullSafe(F.col("_bytes")) & F.col("mtime").eqNullSafe(F.col("_mtime")) & F.col("_sha256").isNotNull()
-    return joined.withColumns({"sha256": F.when(same, F.col("_sha256")), "est_lines": F.when(same, F.col("_est_lines")), "rescan": ~same}).drop("_bytes", "_mtime", "_sha256", "_est_lines")
+    out = joined.withColumns({"sha256": F.when(same, F.col("_sha256")), "est_lines": F.when(same, F.col("_est_lines")), "rescan": ~same}).drop("_bytes", "_mtime", "_sha256", "_est_lines")
+    if "access_path" not in scanned.columns or "access_path" not in known.columns:
+        return out
+    unchanged = out.filter("not rescan").select(full_path().alias("_container"))
+    members = known.filter("size(access_path) > 1").withColumn("_container", F.col("access_path")[0]["member"]).join(unchanged, "_container", "left_semi").drop("_container")
+    fresh = members.join(scanned.select("path", "file"), ["path", "file"], "left_anti").withColumn("rescan", F.lit(False))
+    return out.unionByName(fresh.select(*[c for c in out.columns if c in fresh.columns]), allowMissingColumns=True)
 
 
 def merge_catalogs(first: DataFrame, second: DataFrame, order: list[str]) -> DataFrame:

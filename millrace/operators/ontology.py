@@ -263,12 +263,15 @@ def build_graphs(records: DataFrame, doc_id: Column, nodes: list[Column], links:
 
 
 def airports(records: DataFrame, dimension: DataFrame, column: str, prefix: str) -> DataFrame:
-    """The airport of a code column: label "Name (CODE)", city, country and geoloc, under a prefix; nulls where unknown."""
+    """The airport of a code column: label "Name (CODE)", city, country and geoloc, under a prefix, and <prefix>_error
+    for codes that aren't three letters or aren't known; nulls where unknown."""
     known = dimension.select(
         F.upper("code").alias(f"{prefix}_code"), F.concat(F.col("name"), F.lit(" ("), F.upper("code"), F.lit(")")).alias(f"{prefix}_label"), F.col("city").alias(f"{prefix}_city"), F.col("country").alias(f"{prefix}_country"),
         F.concat_ws(",", F.col("lat").cast("string"), F.col("lon").cast("string")).alias(f"{prefix}_geoloc"),
     )
-    return records.join(known, F.upper(F.trim(column)) == F.col(f"{prefix}_code"), "left").drop(f"{prefix}_code")
+    joined = records.join(known, F.upper(F.trim(column)) == F.col(f"{prefix}_code"), "left")
+    wrong = F.when(~F.trim(column).rlike("^[A-Za-z]{3}$"), "not an airport code").when(F.col(f"{prefix}_code").isNull() & F.col(column).isNotNull(), "unknown airport")
+    return joined.withColumn(f"{prefix}_error", wrong).drop(f"{prefix}_code")
 
 
 def flight_graphs(records: DataFrame, dimension: DataFrame, doc_id: Column) -> tuple[DataFrame, DataFrame]:

@@ -6,6 +6,7 @@ import bz2
 import gzip
 import hashlib
 import io
+import lzma
 import os
 import re
 import tarfile
@@ -23,7 +24,7 @@ SAMPLE = 4 << 20
 MAX_DEPTH = 8
 CATALOG = "path string, file string, bytes bigint, size string, ctime timestamp, mtime timestamp, mime string, enc string, sha256 string, est_lines bigint, access_path array<struct<kind:string,member:string>>, error string"
 #: First bytes and the type that they tell.
-MAGIC = [(b"PK\x03\x04", "application/zip"), (b"\x1f\x8b", "application/gzip"), (b"BZh", "application/x-bzip2"), (b"\x1f\x9d", "application/x-compress"), (b"7z\xbc\xaf\x27\x1c", "application/x-7z-compressed"), (b"Rar!", "application/x-rar"), (b"%PDF", "application/pdf"), (b"\x89PNG", "image/png"), (b"\xff\xd8\xff", "image/jpeg"), (b"II*\x00", "image/tiff"), (b"MM\x00*", "image/tiff"), (b"\xd0\xcf\x11\xe0", "application/vnd.ms-excel")]
+MAGIC = [(b"070701", "application/x-cpio"), (b"070702", "application/x-cpio"), (b"!<arch>\n", "application/x-archive"), (b"\xfd7zXZ\0", "application/x-xz"), (b"PK\x03\x04", "application/zip"), (b"\x1f\x8b", "application/gzip"), (b"BZh", "application/x-bzip2"), (b"\x1f\x9d", "application/x-compress"), (b"7z\xbc\xaf\x27\x1c", "application/x-7z-compressed"), (b"Rar!", "application/x-rar"), (b"%PDF", "application/pdf"), (b"\x89PNG", "image/png"), (b"\xff\xd8\xff", "image/jpeg"), (b"II*\x00", "image/tiff"), (b"MM\x00*", "image/tiff"), (b"\xd0\xcf\x11\xe0", "application/vnd.ms-excel")]
 UNSUPPORTED = {"application/x-7z-compressed", "application/x-rar"}
 OFFICE = (".xlsx", ".docx", ".pptx", ".odt", ".ods", ".odp", ".xls", ".doc", ".ppt")
 
@@ -123,6 +124,40 @@ def _tar(content: bytes, name: str) -> Iterator[Member]:
                 yield info.name, t.extractfile(info).read(), pd.Timestamp(info.mtime, unit="s")
 
 
+def _cpio(content: bytes, name: str) -> Iterator[Member]:
+    """The portable ASCII format: a header of hexadecimal numbers, name and content, each filled up to four bytes."""
+    at = 0
+    while content[at : at + 6] in (b"070701", b"070702"):
+        numbers = [int(content[at + 6 + 8 * i : at + 14 + 8 * i], 16) for i in range(13)]
+        mode, mtime, size, length = numbers[1], numbers[5], numbers[6], numbers[11]
+        member = content[at + 110 : at + 110 + length - 1].decode("utf-8", "replace")
+        start = at + (110 + length + 3) // 4 * 4
+        if member == "TRAILER!!!":
+            return
+        if start + size > len(content):
+            raise ValueError("the archive is cut off")
+        if mode & 0o170000 == 0o100000 and size:
+            yield member, content[start : start + size], pd.Timestamp(mtime, unit="s")
+        at = start + (size + 3) // 4 * 4
+    raise ValueError("the archive has no end")
+
+
+def _ar(content: bytes, name: str) -> Iterator[Member]:
+    """Unix archives: headers of 60 characters; long names stand in a member of their own."""
+    at, long_names = 8, b""
+    while at + 60 <= len(content):
+        header = content[at : at + 60]
+        label, size = header[:16].decode("utf-8", "replace").rstrip(), int(header[48:58])
+        data, at = content[at + 60 : at + 60 + size], at + 60 + size + size % 2
+        if label == "//":
+            long_names = data
+        elif label not in ("/", "/SYM64/") and data:
+            if label[:1] == "/" and label[1:].isdigit():
+                label = long_names[int(label[1:]) :].split(b"\n")[0].decode("utf-8", "replace")
+            when = header[16:28].strip()
+            yield label.rstrip("/"), data, pd.Timestamp(int(when), unit="s") if when else None
+
+
 def _single(unpack: Callable[[bytes], bytes]) -> Callable[[bytes, str], Iterator[Member]]:
     """Formats that hold one file, named like the container without its extension."""
 
@@ -139,6 +174,7 @@ def _single(unpack: Callable[[bytes], bytes]) -> Callable[[bytes, str], Iterator
 #: bytes. Others can be added.
 CONTAINERS: dict[str, Callable[[bytes, str], Iterator[Member]]] = {
     "application/zip": _zip, "application/x-tar": _tar, "application/gzip": _single(gzip.decompress), "application/x-bzip2": _single(bz2.decompress), "application/x-compress": _single(unlzw),
+    "application/x-cpio": _cpio, "application/x-archive": _ar, "application/x-xz": _single(lzma.decompress),
 }
 
 

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions.analyzers import text_language
-from millrace.functions.languages import LANGUAGES, money, read_stop_words, split_words, split_words_tight
+from millrace.functions.languages import LANGUAGES, money, phonetic, read_stop_words, split_words, split_words_tight, text_phonetic
 
 ALIKE = {
     "ar": ("الكتاب", "كتاب"), "bg": ("градът", "града"), "ca": ("l'home", "home"), "cz": ("hradech", "hradem"), "da": ("husene", "huset"), "de": ("Häusern", "Haus"), "el": ("δρόμος", "δρόμου"),
@@ -53,3 +53,10 @@ def test_money(spark):
     rates = spark.createDataFrame([("EUR", "USD", 1.25), ("USD", "JPY", 100.0)], "from string, to string, rate double")
     rows = spark.createDataFrame([("10,EUR",), ("10",), ("200,JPY",), ("5,XXX",), ("x,EUR",), (None,)], "v string")
     assert [r[0] for r in rows.select(money(F.col("v"), rates)).collect()] == [12.5, 10.0, 2.0, None, None, None]
+
+
+def test_sounds(spark):
+    for a, b in (("night", "nite"), ("phone", "fone"), ("Smith", "Smyth"), ("knife", "nife"), ("write", "rite"), ("judge", "juj"), ("catch", "katch"), ("Shaw", "shaw")):
+        got = spark.createDataFrame([(a, b)], "a string, b string").select(phonetic(F.col("a")).alias("a"), phonetic(F.col("b")).alias("b")).first()
+        assert got.a == got.b and got.a, (a, b, got)
+    assert spark.createDataFrame([("Night phone 12",)], "t string").select(text_phonetic(F.col("t"))).first()[0] == ["NT", "FN"]

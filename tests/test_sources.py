@@ -105,3 +105,47 @@ def test_filters_catalogue_and_datasets(spark, tmp_path):
     processors.no_overlap({"a": one, "b": catalog.filter("file = 'b.bin'")})
     scan.write_selection(one, f"{folder}/out")
     assert spark.read.json(f"{folder}/out").count() == 2
+
+
+def cpio_member(name, data, mode=0o100644):
+    numbers = [1, mode, 0, 0, 1, 1_000_000_000, len(data), 0, 0, 0, 0, len(name) + 1, 0]
+    head = b"070701" + b"".join(b"%08X" % n for n in numbers) + name.encode() + b"\0"
+    fill = lambda b: b + b"\0" * (-len(b) % 4)
+    return fill(head) + fill(data)
+
+
+def test_more_containers():
+    cpio = cpio_member("dir", b"", 0o040755) + cpio_member("a.txt", b"hello") + cpio_member("empty", b"") + cpio_member("TRAILER!!!", b"", 0)
+    rows = list(scan.catalog_rows("p", "x.cpio", cpio, None, []))
+    assert [(r["file"], r["bytes"]) for r in rows] == [("x.cpio", len(cpio)), ("a.txt", 5)]
+    assert list(scan.catalog_rows("p", "x.cpio", cpio[:200], None, []))[0]["error"]
+    member = lambda name, data: name.encode().ljust(16) + b"1000000000".ljust(12) + b"0     0     100644  " + str(len(data)).encode().ljust(10) + b"`\n" + data + b"\n" * (len(data) % 2)
+    ar = b"!<arch>\n" + member("//", b"a_name_longer_than_sixteen.txt/\n") + member("/0", b"one") + member("b.txt/", b"four")
+    assert [r["file"] for r in scan.catalog_rows("p", "x.a", ar, None, [])] == ["x.a", "a_name_longer_than_sixteen.txt", "b.txt"]
+    import lzma
+
+    assert [r["file"] for r in scan.catalog_rows("p", "x.txt.xz", lzma.compress(b"text"), None, [])] == ["x.txt.xz", "x.txt"]
+
+
+def test_members_of_unchanged_archives_are_carried_over(spark, tmp_path):
+    from millrace.operators.catalog import merge_update
+
+    for name in ("same", "other"):
+        with zipfile.ZipFile(tmp_path / f"{name}.zip", "w") as z:
+            z.writestr("in.txt", name)
+    known = spark.createDataFrame(scan.scan(spark, str(tmp_path)).collect(), scan.CATALOG)
+    again = known.filter("size(access_path) = 0").withColumn("bytes", F.when(F.col("file") == "other.zip", F.col("bytes") + 1).otherwise(F.col("bytes")))
+    got = {(r.path, r.file): r for r in merge_update(again, known).collect()}
+    assert set(got) == {(".", "same.zip"), ("./same.zip", "in.txt"), (".", "other.zip")} or set(got) == {("", "same.zip"), ("/same.zip", "in.txt"), ("", "other.zip")}
+    assert [r.rescan for r in got.values() if r.file == "other.zip"] == [True] and all(not r.rescan and r.sha256 for r in got.values() if r.file != "other.zip")
+
+
+def test_airports_and_names(spark):
+    from millrace.functions.values import person_attributes
+    from millrace.operators.ontology import airports
+
+    ports = spark.createDataFrame([("SYD", "Sydney Intl", "Sydney", "AU", -33.9, 151.2)], "code string, name string, city string, country string, lat double, lon double")
+    rows = spark.createDataFrame([("syd",), ("XXX",), ("toolong",), (None,)], "p string")
+    assert [(r.a_label, r.a_error) for r in airports(rows, ports, "p", "a").collect()] == [("Sydney Intl (SYD)", None), (None, "unknown airport"), (None, "not an airport code"), (None, None)]
+    names = spark.createDataFrame([("Bart J", "Simp-son"), (" ", None)], "g string, f string")
+    assert [r[0] for r in names.select(person_attributes(F.col("g"), F.col("f"))).collect()] == [{"givennames": ["bart j"], "surname": ["simp son"]}, {}]
