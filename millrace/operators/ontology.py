@@ -199,6 +199,33 @@ def flatten(nodes: DataFrame, edges: DataFrame, registry: Registry = REGISTRY) -
     return per_field.groupBy("doc_id").agg(of("object").alias("object_types"), of("link").alias("link_types"), of("attr").alias("attr_types"), F.map_from_entries(F.array_sort(entries)).alias("fields"))
 
 
+def flatten_rows(graphs: DataFrame, registry: Registry = REGISTRY) -> DataFrame:
+    """What flatten gives, of graphs that lie in one row each (graph_rows): doc_id, n (nodes), e (edges). The fields are
+    made within the row; rows of one doc_id are brought together by the only shuffle there is."""
+    shared = sorted(registry.shared_attributes())
+    known = F.create_map(*[x for t in registry.objects for x in (F.lit(t), F.array(*[F.lit(a) for a in registry.ancestors(t)]))])
+    entry = lambda kind, field, value: F.struct(F.lit(kind).alias("kind"), field.alias("field"), value.alias("value"))
+    above = lambda n: F.coalesce(F.try_element_at(known, n["type"]), F.array().cast("array<string>"))
+    pairs = lambda attrs: F.flatten(F.transform(F.map_entries(attrs), lambda a: F.transform(a["value"], lambda v: F.struct(a["key"].alias("k"), v.alias("v")))))
+    is_shared = lambda p: p["k"].isin(shared)
+
+    labels = F.flatten(F.transform("n", lambda n: F.transform(above(n), lambda a: entry("object", a, n["label"]))))
+    bare = F.flatten(F.transform("n", lambda n: F.transform(pairs(n["attrs"]), lambda p: entry("attr", p["k"], p["v"]))))
+    typed = F.flatten(F.transform("n", lambda n: F.flatten(F.transform(F.filter(pairs(n["attrs"]), is_shared), lambda p: F.transform(above(n), lambda a: entry("attr", F.concat_ws(".", a, p["k"]), p["v"]))))))
+    links = F.transform("e", lambda e: entry("link", F.lit("link_types"), e["link_type"]))
+    link_bare = F.flatten(F.transform("e", lambda e: F.transform(pairs(e["attrs"]), lambda p: entry("attr", p["k"], p["v"]))))
+    link_typed = F.flatten(F.transform("e", lambda e: F.transform(F.filter(pairs(e["attrs"]), is_shared), lambda p: entry("attr", F.concat_ws(".", e["link_type"], p["k"]), p["v"]))))
+    entries = F.array_distinct(F.filter(F.concat(labels, bare, typed, links, link_bare, link_typed), lambda x: x["value"].isNotNull() & (x["value"] != "")))
+    # One document's fields are few enough for one row, as they are in what comes out.
+    whole = graphs.select("doc_id", entries.alias("x")).groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list("x"))).alias("x"))
+    suffix = lambda x: F.when(x["field"].endswith("geoloc"), "").when(x["value"].rlike(_INSTANT), "_dts").otherwise("_ss")
+    named = F.transform(F.filter("x", lambda x: x["kind"] != "link"), lambda x: F.struct(F.concat(x["field"], suffix(x)).alias("name"), x["value"].alias("value")))
+    whole = whole.withColumn("named", named)
+    fields = F.transform(F.array_sort(F.array_distinct(F.transform("named", lambda x: x["name"]))), lambda name: F.struct(name.alias("name"), F.array_sort(F.array_distinct(F.transform(F.filter("named", lambda x: x["name"] == name), lambda x: x["value"]))).alias("values")))
+    of = lambda kind, part: F.array_sort(F.array_distinct(F.transform(F.filter("x", lambda x: x["kind"] == kind), lambda x: x[part])))
+    return whole.filter(F.size("x") > 0).select("doc_id", of("object", "field").alias("object_types"), of("link", "value").alias("link_types"), of("attr", "field").alias("attr_types"), F.map_from_entries(fields).alias("fields"))
+
+
 def document_id(cid: Column, record_ids: Column) -> Column:
     """SHA-256 over the dataset's number and the sorted record ids, one after the other."""
     return F.sha2(F.concat(cid.cast("string"), F.array_join(F.array_sort(record_ids), "")), 256)
@@ -250,16 +277,19 @@ def link(src: int, kind: str, dst: int, reversed: bool = False, **attrs: Column)
     return F.struct(F.lit(src).alias("src"), F.lit(kind).alias("link_type"), F.lit(reversed).alias("reversed"), held.alias("attrs"), F.lit(dst).alias("dst"))
 
 
-def build_graphs(records: DataFrame, doc_id: Column, nodes: list[Column], links: list[Column]) -> tuple[DataFrame, DataFrame]:
-    """(nodes, edges) of every record; links whose ends aren't both there are left out."""
+def graph_rows(records: DataFrame, doc_id: Column, nodes: list[Column], links: list[Column]) -> DataFrame:
+    """doc_id, n, e: the nodes and edges of every record in its row; links whose ends aren't both there are left out."""
     made = F.filter(F.array(*nodes), lambda n: n.isNotNull())
-    built = records.select(doc_id.alias("doc_id"), made.alias("n"), F.array(*links).alias("e") if links else F.array().alias("e"))
+    edges = F.array(*links) if links else F.array().cast("array<struct<src:int,link_type:string,reversed:boolean,attrs:map<string,array<string>>,dst:int>>")
+    built = records.select(doc_id.alias("doc_id"), made.alias("n"), edges.alias("e"))
     ids = F.transform("n", lambda n: n["node_id"])
-    out_nodes = built.select("doc_id", F.explode("n").alias("n")).select("doc_id", "n.*")
-    if not links:
-        return out_nodes, records.sparkSession.createDataFrame([], "doc_id string, src int, link_type string, reversed boolean, attrs map<string,array<string>>, dst int")
-    kept = F.filter("e", lambda e: F.array_contains(ids, e["src"]) & F.array_contains(ids, e["dst"]))
-    return out_nodes, built.select("doc_id", F.explode(kept).alias("e")).select("doc_id", "e.*")
+    return built.withColumn("e", F.filter("e", lambda e: F.array_contains(ids, e["src"]) & F.array_contains(ids, e["dst"])))
+
+
+def build_graphs(records: DataFrame, doc_id: Column, nodes: list[Column], links: list[Column]) -> tuple[DataFrame, DataFrame]:
+    """(nodes, edges) of every record; links whose ends aren't both there are left out."""
+    rows = graph_rows(records, doc_id, nodes, links)
+    return rows.select("doc_id", F.explode("n").alias("n")).select("doc_id", "n.*"), rows.select("doc_id", F.explode("e").alias("e")).select("doc_id", "e.*")
 
 
 def airports(records: DataFrame, dimension: DataFrame, column: str, prefix: str) -> DataFrame:

@@ -12,8 +12,7 @@ from millrace.operators.documents import search_documents
 from millrace.session import table
 
 
-def register_graphs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """A person for every register row, with its number and the place it is in; rows that share a src_file_rec are one."""
+def _register(spark: SparkSession, sf_dir: str, build):
     rows = table(spark, sf_dir, "testdata").dropDuplicates(["src_file_rec", "name", "region", "telephone_number"])
     person = F.coalesce(F.nullif(surname(F.col("name")), F.lit("")), F.lit("UNKNOWN"))
     nodes = [
@@ -22,7 +21,12 @@ def register_graphs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
         o.node(3, "Address", F.nullif(F.upper(F.trim("region")), F.lit("")), state=o.one(F.nullif(F.trim("region"), F.lit("")))),
     ]
     links = [o.link(1, "AssociatedWith", 2), o.link(1, "Located", 3, timestamp=o.one(o.instant(F.col("seen_at"))))]
-    return o.build_graphs(rows, F.col("src_file_rec"), nodes, links)
+    return build(rows, F.col("src_file_rec"), nodes, links)
+
+
+def register_graphs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """A person for every register row, with its number and the place it is in; rows that share a src_file_rec are one."""
+    return _register(spark, sf_dir, o.build_graphs)
 
 
 def ontology_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,8 +36,7 @@ def ontology_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ontology_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flattened search documents."""
-    nodes, edges = register_graphs(spark, sf_dir)
-    flat = o.flatten(nodes, edges)
+    flat = o.flatten_rows(_register(spark, sf_dir, o.graph_rows))
     joined = [F.array_join(c, ",").alias(c) for c in ("object_types", "link_types", "attr_types")]
     return flat.select("doc_id", *joined, F.array_join(F.try_element_at("fields", F.lit("Entity_ss")), "|").alias("entity"), F.array_join(F.try_element_at("fields", F.lit("Location_ss")), "|").alias("location"))
 

@@ -77,3 +77,15 @@ def test_text_of_values(spark):
     row = spark.createDataFrame([("a", 1, [1, 2], None, True)], "s string, i int, l array<int>, n int, b boolean")
     assert tables.key_by(row, "t", "s").first().t_records == {"s": "a", "i": "1", "l": "[1,2]", "n": None, "b": "true"}
     assert spark.createDataFrame([({"a": "x", "b": "", "c": None, "d": " "},)], "m map<string,string>").select(tables.without_empty(F.col("m"))).first()[0] == {"a": "x"}
+
+
+def test_flattening_within_the_row_is_the_same(spark):
+    rows = spark.createDataFrame([("1", "a", "2020-01-01T00:00:00Z", "1,2"), ("1", "b", None, None), ("2", "", None, "3,4"), ("3", None, None, None)], "id string, n string, t string, g string")
+    nodes = [
+        ontology.node(1, "Person", F.nullif(F.col("n"), F.lit("")), dob=ontology.one(F.col("t"))), ontology.node(2, "Airport", F.col("g"), geoloc=ontology.one(F.col("g")), country=ontology.one(F.lit("AU"))),
+    ]
+    links = [ontology.link(1, "Located", 2, timestamp=ontology.one(F.col("t")))]
+    plain = lambda df: sorted((r.doc_id, r.object_types, r.link_types, r.attr_types, sorted(r.fields.items())) for r in df.collect())
+    here = plain(ontology.flatten_rows(ontology.graph_rows(rows, F.col("id"), nodes, links)))
+    assert here == plain(ontology.flatten(*ontology.build_graphs(rows, F.col("id"), nodes, links))) and len(here) == 2
+    assert ontology.flatten_rows(ontology.graph_rows(rows.limit(0), F.col("id"), nodes, [])).count() == 0
