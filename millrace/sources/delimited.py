@@ -137,11 +137,11 @@ def failed_in_files(lines: DataFrame, layouts: DataFrame, rows_at_once: int = 20
         out = []
         for record in RecordGrammar.from_spec(spec).file("\n".join(texts) + "\n"):
             if record.error:
-                first, last = bisect.bisect_right(starts, record.start) - 1, bisect.bisect_left(starts, max(record.end, record.start + 1))
+                first, last = bisect.bisect_right(starts, record.start) - 1, bisect.bisect_right(starts, record.end)
                 out += [(ids[n], file, rows[n], record.error) for n in range(first, last)]
         return pd.DataFrame(out, columns=[f.split()[0] for f in schema.split(", ")])
 
-    return joined.groupBy("file_id", "layout_id", F.floor(F.col("row") / rows_at_once).alias("stretch")).applyInPandas(lambda g: parse(g), schema)
+    return joined.groupBy("file_id", "layout_id", F.floor(F.col("row") / rows_at_once).alias("stretch")).applyInPandas(parse, schema)
 
 
 def read_delimited_files(spark: SparkSession, path: str, layout: RecordGrammar, encoding: str = "utf-8") -> DataFrame:

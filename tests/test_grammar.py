@@ -135,3 +135,17 @@ def test_closing_quote_against_pattern():
         for end in (len(text), len(text) // 2):
             for pos in r.sample(range(end + 1), end + 1):
                 assert grammar._close(text, pos, end) == pattern.match(text, pos, end).end(), (text, pos, end)
+
+
+def test_files_read_whole_fail_where_their_lines_do(spark):
+    from millrace.sources.delimited import failed_in_files, failed_lines
+
+    layouts = spark.createDataFrame([(1, ",", '"', 1, "a", "text", True), (1, ",", '"', 2, "n", "bigint", False)], "layout_id int, sep string, quotechar string, pos int, column_name string, col_type string, required boolean")
+    texts = ["x,1", '"open,2', "", "y,3", '"q,""r""",4', '"two\nlines",5', "z,bad", "", None, 'w"x,6', '"closed"late,7', "v,8", ",9"]
+    rows = [(i, 7, 1, i + 1, t) for i, t in enumerate(texts)] + [(100, 8, 9, 1, "x,1"), (101, 9, 1, 1, '"never closed')]
+    lines = spark.createDataFrame(rows, "line_id bigint, file_id bigint, layout_id int, row bigint, line string")
+    expected = {r.line_id for r in failed_lines(lines, layouts).collect()}
+    assert expected == {1, 2, 6, 7, 8, 10, 12, 100, 101}
+    for at_once in (20_000, 4, 1):
+        assert {r.line_id for r in failed_in_files(lines, layouts, at_once).collect()} == expected, at_once
+    assert failed_in_files(lines.limit(0), layouts).count() == 0
