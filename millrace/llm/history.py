@@ -103,10 +103,10 @@ def name_core(name: str | None) -> list[str]:
 
 
 def name_keys(core: list[str]) -> list[str]:
-    """The numbers of a name with its first and with its last two letters."""
+    """The numbers of a name, with the whole name where it is too short to differ by an edit from any other."""
     numbers = "/".join(d.lstrip("0") for p in core for d in re.findall(r"\d+", p))
-    letters = re.sub(r"\d+", "", "".join(core))
-    return sorted({f"{numbers}^{letters[:2]}", f"{numbers}${letters[-2:]}"}) if core else []
+    whole = "".join(core)
+    return [f"{numbers}^{whole if (len(whole) + 1) * NAME_EDITS < 1 else ''}"] if core else []
 
 
 def _size_class(size: Column) -> Column:
@@ -173,7 +173,9 @@ def _keys(records: DataFrame, *more: str) -> DataFrame:
 
 def _asked(records: DataFrame) -> DataFrame:
     """The records' keys to look up, texts in all classes of sizes that are near enough."""
-    ends = [_at(F.col("bytes") + way * _away()) for way in (-1, 1)]
+    # Up to the largest size that this one is near to by that size's own share.
+    above = F.greatest(_away(), F.ceil((F.col("bytes") + 1) * SHARE_NEAR / (1 - SHARE_NEAR)) + 1)
+    ends = [_at(F.col("bytes") - _away()), _at(F.col("bytes") + above)]
     return _keys(records, "own", "need").filter("probe").withColumn("key", F.explode(F.array_distinct(F.array(*ends))))
 
 
@@ -182,6 +184,22 @@ def _held(records: DataFrame, content: str) -> DataFrame:
     return _keys(records, content).select(_at(F.col("bytes")).alias("key"), F.col(content).alias("class"), "kind", "bytes", "length", "core", "bare")
 
 
+#: What a key leads to, in sizes so near to each other that whatever is near to one of them is near to the least or the
+#: largest, or between them.
+PLACE = ["key", "class", "kind", "core", "bare", "cell"]
+
+
+def _placed(keys: DataFrame) -> DataFrame:
+    return keys.withColumn("cell", F.floor(F.col("bytes") / BYTES_NEAR))
+
+
+def _forms(keys: DataFrame) -> DataFrame:
+    """The least and the largest size that a content has each of its keys in."""
+    form = F.struct("bytes", "length")
+    ends = _placed(keys).groupBy(*PLACE).agg(F.min(form).alias("low"), F.max(form).alias("high"))
+    return ends.withColumn("form", F.explode(F.array_distinct(F.array("low", "high")))).select("key", "class", "kind", "form.*", "core", "bare")
+
+
 def _covered(asked: DataFrame, table: DataFrame) -> DataFrame:
     """meta_id, class: every content of the table that covers enough of a record asked about."""
     there = table.select("key", "class", F.col("bytes").alias("size"), F.col("length").alias("extent"), F.col("core").alias("like"), F.col("bare").alias("either"))
@@ -239,19 +257,21 @@ class History:
             heads = heads.join(more, "meta_id", "left").withColumns({"head": F.coalesce("head", "more"), "own": F.coalesce("more", "own")}).drop("more")
             heads = step(heads, "gathered")
         # ... and then, with those taken as one, every content of the batch and of the history that shares a probe.
-        mine = _held(heads, "own").dropDuplicates(["key", "class", "core", "bare"])
+        mine = _forms(_held(heads, "own"))
         met = _covered(_asked(heads), mine.unionByName(self.spark.table(self.name))).unionByName(heads.filter("head is not null").select("meta_id", F.col("head").alias("class")))
         ends = F.explode(F.array(F.struct(F.col("meta_id").alias("x"), F.col("class").alias("y")), F.struct(F.col("class").alias("x"), F.col("meta_id").alias("y"))))
         edges = step(met.select(ends.alias("e")).select("e.*").distinct(), "edges")
         classes = connected(edges, step)
         placed = self.last
 
-        # Appended: only keys that don't lead to this content yet. The join is by key alone, as the table is bucketed.
+        # Appended: only keys that don't lead to this content yet, at this size. The join is by key alone, as the table is bucketed.
         known = heads.join(classes.withColumnRenamed("x", "meta_id"), "meta_id", "left").withColumn("content", F.coalesce("label", "meta_id"))
-        leading = _held(known, "content").repartition(self.buckets, "key").dropDuplicates(["key", "class", "core", "bare"])
-        said = self.spark.table(self.name).select(F.col("key").alias("_key"), F.col("class").alias("_class"), F.col("core").alias("_core"), F.col("bare").alias("_bare"))
-        same = (F.col("key") == F.col("_key")) & (F.col("class") - F.col("_class") == 0) & F.concat_ws(",", F.lit("="), "core", "bare").eqNullSafe(F.concat_ws(",", F.lit("="), "_core", "_bare"))
-        leading.join(said, same, "left_anti").write.insertInto(self.name)
+        leading = _placed(_forms(_held(known, "content").repartition(self.buckets, "key")))
+        said = _placed(self.spark.table(self.name)).groupBy(*PLACE).agg(F.min("bytes").alias("_low"), F.max("bytes").alias("_high"))
+        said = said.select(F.col("key").alias("_key"), F.col("class").alias("_class"), F.col("cell").alias("_cell"), F.col("core").alias("_core"), F.col("bare").alias("_bare"), "_low", "_high")
+        same = (F.col("key") == F.col("_key")) & (F.col("class") - F.col("_class") == 0) & (F.col("cell") - F.col("_cell") == 0) & F.concat_ws(",", F.lit("="), "core", "bare").eqNullSafe(F.concat_ws(",", F.lit("="), "_core", "_bare"))
+        new = leading.join(said, same & F.col("bytes").between(F.col("_low"), F.col("_high")), "left_anti")
+        new.select("key", "class", "kind", "bytes", "length", "core", "bare").write.insertInto(self.name)
         return placed
 
 

@@ -1,9 +1,10 @@
+import math
 import random
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from millrace.llm.history import History, chunks, name_core, name_keys, plain, prepared, repeated_records, text_chunks
+from millrace.llm.history import BYTES_NEAR, LINEAR, LOG_WIDTH, SHARE_NEAR, SIZE_WIDTH, History, chunks, name_core, name_keys, plain, prepared, repeated_records, text_chunks
 
 SCHEMA = "meta_id bigint, batch int, sha256 string, bytes bigint, file string, head string, path string, class string"
 
@@ -125,3 +126,31 @@ def test_a_history_is_kept_and_opened_again(spark, tmp_path):
     # What is appended is what is new: the checksum, the name and the chunks around the word changed.
     grown = spark.read.parquet(f"{tmp_path}/keys").filter("kind = 1 and class = 1").count()
     assert spark.read.parquet(f"{tmp_path}/keys").count() > size and grown < 1.2 * len(text_chunks(a))
+
+
+def test_names_with_both_ends_or_the_middle_wrong(spark):
+    names = ["img_20200512.bin", "ipg_20200512.bin", "img_20200513.bin", "deliveries_of_the_northern_2020.bin", "eliveries_of_the_northerm_2020.bin", "zzliveries_of_the_northyyx_2020.bin"]
+    rows = [(i, 1, None, 5000, n, None, "p", "x") for i, n in enumerate(names)]
+    assert {tuple(r) for r in repeated_records(spark.createDataFrame(rows, SCHEMA)).collect()} == {(0, 1), (3, 4)}
+
+
+def test_a_content_is_met_at_the_size_of_any_of_its_forms(spark):
+    a = words(30)
+    rows = [(i, i, f"s{i}", 5100 + 150 * i, f"f{i}.csv", a.replace(a.split()[i], "new"), "p", "x") for i in range(5)]
+    assert {tuple(r) for r in repeated_records(spark.createDataFrame(rows, SCHEMA)).collect()} == {(0, i) for i in range(1, 5)}
+    rows = [(i, 1, *r[2:]) for i, r in enumerate(rows)] + [(9, 2, "s9", 5850, "f9.csv", a.upper(), "p", "x")]
+    assert {tuple(r) for r in repeated_records(spark.createDataFrame(rows, SCHEMA)).collect()} == {(0, i) for i in (1, 2, 3, 4, 9)}
+
+
+def size_class(size):
+    return math.floor(min(size, LINEAR) / SIZE_WIDTH + math.log(max(size, LINEAR) / LINEAR) / LOG_WIDTH)
+
+
+def away(size):
+    return max(BYTES_NEAR, math.ceil(size * SHARE_NEAR))
+
+
+def test_sizes_nearly_the_same_at_the_edge_of_a_class(spark):
+    size = next(b for b in range(2_000_000, 3_000_000) if size_class(b + away(b)) < size_class(b + away(b) + 1) and away(b + away(b) + 1) > away(b))
+    rows = [(1, 0, "s1", size + away(size) + 1, "a.csv", words(31), "p", "x"), (2, 1, "s2", size, "b.csv", words(31), "p", "x")]
+    assert {tuple(r) for r in repeated_records(spark.createDataFrame(rows, SCHEMA)).collect()} == {(1, 2)}
