@@ -102,8 +102,9 @@ def _evidence(fields: DataFrame, files: DataFrame, gone: DataFrame, come: DataFr
         """Values that one record of the file alone holds."""
         return side.groupBy("feed_id", "file_id", "canon").agg(F.min("row").alias("row"), F.countDistinct("row").alias("n")).filter("n = 1 and length(canon) > 2").drop("n")
 
-    votes = (
-        distinctive(before).withColumnRenamed("row", "old_row").join(distinctive(after).withColumnRenamed("row", "new_row"), ["feed_id", "file_id", "canon"]).groupBy("feed_id", "file_id", "old_row", "new_row").agg(F.count("*").alias("votes"))
+    votes = cut_lineage(
+        distinctive(before).withColumnRenamed("row", "old_row").join(distinctive(after).withColumnRenamed("row", "new_row"), ["feed_id", "file_id", "canon"]).groupBy("feed_id", "file_id", "old_row", "new_row").agg(F.count("*").alias("votes")),
+        "votes",
     )
     best_old = Window.partitionBy("feed_id", "file_id", "old_row").orderBy(F.desc("votes"), "new_row")
     best_new = Window.partitionBy("feed_id", "file_id", "new_row").orderBy(F.desc("votes"), "old_row")
@@ -111,6 +112,8 @@ def _evidence(fields: DataFrame, files: DataFrame, gone: DataFrame, come: DataFr
 
     o = before.join(gone, ["feed_id", "file_id", "field"]).select("feed_id", "file_id", F.col("row").alias("old_row"), F.col("field").alias("old"), F.col("canon").alias("old_value"))
     n = after.join(come, ["feed_id", "file_id", "field"]).select("feed_id", "file_id", F.col("row").alias("new_row"), F.col("field").alias("new"), F.col("canon").alias("new_value"))
+    # Each step is a job of its own, so that the driver holds one small plan at a time.
+    aligned, o, n = cut_lineage(aligned, "aligned"), cut_lineage(o, "old"), cut_lineage(n, "new")
     both = aligned.join(o, ["feed_id", "file_id", "old_row"]).join(n, ["feed_id", "file_id", "new_row"])
     same = (F.col("old_value") == F.col("new_value")) | ((F.least(F.length("old_value"), F.length("new_value")) >= 4) & (F.contains("old_value", "new_value") | F.contains("new_value", "old_value")))
     totals = both.groupBy("feed_id", "file_id", "old", "new").agg(F.count("*").alias("both"), F.sum(same.cast("int")).alias("agree"))
@@ -120,7 +123,7 @@ def _evidence(fields: DataFrame, files: DataFrame, gone: DataFrame, come: DataFr
     po = share(o, "old", "old_value").select("feed_id", "file_id", "old", F.col("old_value").alias("v"), F.col("p").alias("po"))
     pn = share(n, "new", "new_value").select("feed_id", "file_id", "new", F.col("new_value").alias("v"), F.col("p").alias("pn"))
     chance = po.join(pn, ["feed_id", "file_id", "v"]).groupBy("feed_id", "file_id", "old", "new").agg(F.sum(F.col("po") * F.col("pn")).alias("chance"))
-    return totals.join(chance, ["feed_id", "file_id", "old", "new"], "left").withColumn("chance", F.coalesce("chance", F.lit(0.0)))
+    return cut_lineage(totals, "totals").join(chance, ["feed_id", "file_id", "old", "new"], "left").withColumn("chance", F.coalesce("chance", F.lit(0.0)))
 
 
 def best_matching(edges: list[tuple[str, str, float]]) -> list[tuple[str, str]]:
@@ -174,7 +177,8 @@ def schema_changes(lines: DataFrame) -> DataFrame:
     count once, lines that are no JSON object and null lines give no fields, the first file of a feed no change, an
     empty table no rows. A field that only holds nulls in a file isn't in it. Other columns are ignored.
     """
-    fields, files = json_fields(lines), _file_order(lines)
+    # Written once: what follows reads the fields several times, and no plan carries the lines' along.
+    fields, files = cut_lineage(json_fields(lines).drop("value"), "fields"), cut_lineage(_file_order(lines), "files")
     diff = cut_lineage(_differences(fields, files).filter("old_type is null or new_type is null or old_type <> new_type"), "differences")
     gone = diff.filter("new_type is null").select("feed_id", "file_id", "field")
     come = diff.filter("old_type is null").select("feed_id", "file_id", "field")

@@ -5,6 +5,7 @@ import json
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from millrace.operators import schema_drift
 from millrace.operators.schema_drift import best_matching, schema_changes, unified_table
 
 SCHEMA = "line_id bigint, feed_id bigint, file_id bigint, as_of timestamp_ntz, arrived_at timestamp_ntz, row bigint, line string"
@@ -86,3 +87,12 @@ def test_one_table_of_typed_values(spark):
     got = {r.row: r for r in df.collect()}
     assert got[1].name == 'say "hi"\nthere' and (got[1].n, got[1].ok, got[1].x, got[1].mixed) == (1, True, 1.5, "1") and got[4].mixed == "one"
     assert got[2].a == '["y","z"]' and got[3].a == "same" and got[4].deep == '{"k":[1,2]}'
+
+
+def test_lines_are_parsed_once(spark, monkeypatch):
+    """Every plan after that reads a table; a plan that carries the parsing along again is large for the driver."""
+    plans, cut = [], schema_drift.cut_lineage
+    monkeypatch.setattr(schema_drift, "cut_lineage", lambda df, name="stage": (plans.append(df._jdf.queryExecution().analyzed().toString()), cut(df, name))[1])
+    lines = table(spark, {(1, 1, 1): people(), (1, 2, 2): people(name="who")})
+    assert found(lines) == [(2, "renamed", "name", "who")]
+    assert sum(p.count("from_json") for p in plans) == 1
